@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import classifier, rules, simhash, toxicity
+from gristmill.llm import classifier, pii, rules, simhash, toxicity
 from gristmill.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -25,7 +29,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_classifier, op4_simhash_near_dedup, op6_toxicity, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_quality_classifier, op4_simhash_near_dedup, op5_pii, op6_toxicity, op10_quality_rules)}
 
 
 def oracle_sql() -> dict:
