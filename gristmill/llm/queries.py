@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import classifier, pii, rules, simhash, toxicity
+from gristmill.llm import bpe, classifier, pii, rules, simhash, toxicity
 from gristmill.llm.common import table
 
 
@@ -24,12 +25,16 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_classifier, op4_simhash_near_dedup, op5_pii, op6_toxicity, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_quality_classifier, op4_simhash_near_dedup, op5_pii, op6_toxicity, op7_bpe, op10_quality_rules)}
 
 
 def oracle_sql() -> dict:
