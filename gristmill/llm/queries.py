@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import bpe, classifier, pii, rules, simhash, toxicity
+from gristmill.llm import bpe, classifier, packing, pii, rules, simhash, store, toxicity
 from gristmill.llm.common import table
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(store.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -29,12 +33,16 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.stored(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_classifier, op4_simhash_near_dedup, op5_pii, op6_toxicity, op7_bpe, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op4_simhash_near_dedup, op5_pii, op6_toxicity, op7_bpe, op9_token_store, op10_quality_rules)}
 
 
 def oracle_sql() -> dict:
