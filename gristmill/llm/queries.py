@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import bpe, classifier, packing, pii, rules, simhash, store, toxicity
+from gristmill.llm import ann, bpe, classifier, packing, pii, rules, simhash, store, toxicity
 from gristmill.llm.common import table
 
 
@@ -33,6 +34,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.stored(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -41,8 +46,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op4_simhash_near_dedup, op5_pii, op6_toxicity, op7_bpe, op9_token_store, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op4_simhash_near_dedup, op5_pii, op6_toxicity, op7_bpe, op8_nearest_neighbours, op9_token_store, op10_quality_rules, pipeline)}
 
 
 def oracle_sql() -> dict:
