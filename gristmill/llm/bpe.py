@@ -13,6 +13,7 @@ import base64
 import hashlib
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
@@ -20,7 +21,8 @@ from pyspark.sql import DataFrame
 from gristmill.llm.common import map_rows, texts
 from gristmill.llm.units import Units
 
-PIECES = 200_000  # distinct pieces whose encoding a worker keeps
+#: What a worker keeps: checked pairs of tokens.
+PAIRS = 500_000
 
 
 class Bpe:
@@ -35,6 +37,19 @@ class Bpe:
         self.made: dict[bytes, int] = {}  # the tokens that merges can make
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
             self._learn(token, rank)
+        self.sizes = {r: len(t) for t, r in self.made.items()}
+        self.follows: dict[int, bool] = {}
+        self.matcher = ahocorasick.Automaton()
+        for token, rank in self.made.items():
+            self.matcher.add_word(token.decode("latin-1"), rank)
+        self.matcher.make_automaton()
+
+    def check(self, a: int, b: int) -> bool:
+        """may_follow, remembered."""
+        if len(self.follows) > PAIRS:
+            self.follows.clear()
+        fits = self.follows[a << 32 | b] = self.may_follow(a, b)
+        return fits
 
     def _learn(self, token: bytes, rank: int) -> None:
         if len(token) == 1:
@@ -91,17 +106,28 @@ class Prefixes:
 
     def append(self, data: bytes) -> None:
         """Go on with further bytes; what is there stays."""
+        done = len(self.last)
         self.data += data
-        for end in range(len(self.last) + 1, len(self.data) + 1):
-            self.last.append(self._at(end))
-
-    def _at(self, end: int) -> int:
-        made, last, data, ok = self.bpe.made, self.last, self.data, self.bpe.may_follow
-        for start in range(max(0, end - self.bpe.longest), end):
-            token = made.get(data[start:end])
-            if token is not None and (not start or ok(last[start - 1], token)):
-                return token
-        raise ValueError(f"no token ends at byte {end}: the vocabulary lacks a single byte")
+        self.last += [-1] * len(data)
+        self._fill(done, len(self.data))
+
+    def _fill(self, start: int, end: int) -> None:
+        """Find the entries from start to end, of tokens that end there."""
+        last, follows, sizes, ok = self.last, self.bpe.follows, self.bpe.sizes, self.bpe.check
+        before = max(0, start + 1 - self.bpe.longest)
+        for at, token in self.bpe.matcher.iter(self.data[before:end].decode("latin-1")):
+            at += before
+            if last[at] < 0:
+                left = at - sizes[token]
+                if left < 0:
+                    last[at] = token
+                else:
+                    pair = last[left] << 32 | token
+                    fits = follows.get(pair)
+                    if ok(last[left], token) if fits is None else fits:
+                        last[at] = token
+        if -1 in last[start:end]:
+            raise ValueError("the vocabulary lacks a single byte")
 
     def replace(self, start: int, end: int, new: bytes) -> int:
         """Put new in place of data[start:end]; gives how many entries were computed anew.
@@ -114,7 +140,8 @@ class Prefixes:
         done = same = 0
         while len(self.last) < len(self.data):
             at = len(self.last)
-            self.last.append(self._at(at + 1))
+            self.last.append(-1)
+            self._fill(at, at + 1)
             done += 1
             same = same + 1 if at >= edge and self.last[at] == old[at - shift] else 0
             if same >= self.bpe.longest:
@@ -140,17 +167,18 @@ class Encoder:
     """Texts to ids: pieces by a pattern, each encoded for itself."""
 
     def __init__(self, path: str, pattern: str):
-        self.bpe, self.split, self.known = load(path), regex.compile(pattern).findall, {}
-        self.texts = Units(lambda parts: [self._one(p) for p in parts])
-
-    def _one(self, text: str) -> bytes:
-        return b"".join([self.known.get(p) or self._new(p) for p in self.split(text)])
+        self.bpe, self.split = load(path), regex.compile(pattern).findall
+        self.texts = Units(self._many)
 
-    def _new(self, piece: str) -> bytes:
-        if len(self.known) > PIECES:
-            self.known.clear()
-        out = self.known[piece] = np.array(self.bpe.piece(piece.encode()), "<u4").tobytes()
-        return out
+    def _many(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids: list[int] = []
+        sizes = []
+        for text in parts:
+            before = len(ids)
+            for p in self.split(text):
+                ids += self.bpe.piece(p.encode())
+            sizes.append(len(ids) - before)
+        return np.array(ids, np.uint32), np.array(sizes, np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -163,7 +191,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
     def make():
         enc = _encoder(path, pattern)
-        return lambda c: (c[0], [np.frombuffer(x, "<u4").astype("int32") for x in enc.texts(c[1])])
+        return lambda c: (c[0], [x.astype("int32") for x in enc.texts(c[1])])
 
     return map_rows(texts(docs, id_col, text_col, binary=False), make, "doc_id long, ids array<int>")
 
@@ -180,11 +208,10 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
         def act(c: list) -> tuple:
             n, ids_hash, text_hash = [], [], []
-            for raw in enc.texts(c[1]):
-                ids = np.frombuffer(raw, "<u4").tolist()
+            for ids in enc.texts(c[1]):
                 n.append(len(ids))
-                ids_hash.append(hashlib.sha256(raw).hexdigest())
-                text_hash.append(hashlib.sha256(enc.bpe.decode(ids)).hexdigest())
+                ids_hash.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
+                text_hash.append(hashlib.sha256(enc.bpe.decode(ids.tolist())).hexdigest())
             return c[0], n, ids_hash, text_hash
 
         return act

@@ -28,7 +28,7 @@ from gristmill.llm.common import map_rows, texts
 from gristmill.llm.units import Units
 from gristmill.session import cut, ready_for_python, shared_dir
 
-WINDOW, LEAST, MOST, MASK, END, KEY = 8, 64, 4096, (1 << 8) - 1, 0, 16
+WINDOW, LEAST, MOST, MASK, END, KEY = 4, 64, 4096, (1 << 9) - 1, 0, 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = [np.uint64(pow(0x5851F42D4C957F2D, k, 1 << 64)) for k in range(WINDOW)]
 
@@ -36,48 +36,63 @@ _POWERS = [np.uint64(pow(0x5851F42D4C957F2D, k, 1 << 64)) for k in range(WINDOW)
 class Encoder:
     """Texts to ids with a tokenizer file of the tokenizers library; short units of a text are encoded once."""
 
-    def __init__(self, path: str, width: int):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
-        self.tok, self.kind = Tokenizer.from_file(path), f"<u{width}"
-        self.newline = self._ids(["\n"])[0]
+        self.tok, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.words.pre_tokenizer = WhitespaceSplit()  # for single pieces, spelled in the vocabulary's letters for bytes
+        self.gap = self.words.token_to_id(_byte_letters()[10])
         self.texts = Units(self._many)
 
-    def _ids(self, parts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast(parts, add_special_tokens=False)]
-
-    def _many(self, parts: list[str]) -> list[bytes]:
-        """Of each part its ids. Parts in front of which a line end can't change anything are encoded in lines."""
-        out: list[bytes | None] = [None] * len(parts)
-        lines = [i for i, p in enumerate(parts) if len(p) > 1 and p[0] == " " and not p[1].isspace() and "\n" not in p and not p[-1].isspace() and len(p) < 100] if len(self.newline) == 1 else []
-        for k in range(0, len(lines), 2000):
-            some = lines[k : k + 2000]
-            ids = np.array(self._ids(["\n".join(parts[i] for i in some)])[0], self.kind)
-            ends = np.flatnonzero(ids == self.newline[0])
-            if len(ends) == len(some) - 1:
-                raw, size = ids.tobytes(), ids.itemsize
-                for i, a, e in zip(some, [0, *((ends + 1) * size).tolist()], [*(ends * size).tolist(), len(raw)]):
-                    out[i] = raw[a:e]
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(rest, self._ids([parts[i] for i in rest])):
-            out[i] = np.array(ids, self.kind).tobytes()
-        return out
+    def _many(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and how many each part has."""
+        plain = np.array([p[:1] == " " and p[1:].isalpha() for p in parts], bool)
+        one, one_sizes = self._lettered([p for p, x in zip(parts, plain.tolist()) if x])
+        two = [e.ids for e in self.tok.encode_batch_fast([p for p, x in zip(parts, plain.tolist()) if not x], add_special_tokens=False)]
+        sizes = np.zeros(len(parts), np.int64)
+        sizes[plain], sizes[~plain] = one_sizes, [len(x) for x in two]
+        ids, which = np.zeros(int(sizes.sum()), np.uint32), np.repeat(plain, sizes)
+        ids[which], ids[~which] = one, [i for x in two for i in x]
+        return ids, sizes
+
+    def _lettered(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Parts of a space and letters: each is one piece for the pattern, so they skip it, with line ends in between."""
+        if not parts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        spelled = "\n\0\n".join(parts).encode().decode("latin-1").translate(_LETTERS)
+        ids = np.array(self.words.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(ids == self.gap)
+        if len(ends) != len(parts) - 1:
+            raise ValueError("the vocabulary has no token of its own for a line end")
+        return np.delete(ids, ends), np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write for bytes: printable ones for themselves, the others from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+#: For translate(): pieces stand in lines, and a zero byte stands for the piece that is a line end.
+_LETTERS = _byte_letters() | {0: _byte_letters()[10], 10: "\n"}
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, width: int) -> Encoder:
+def encoder(path: str) -> Encoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Encoder(path, width)
+    return Encoder(path)
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end: int = 1) -> DataFrame:
     """(doc_id, n_tokens, fold): ids of each row's text and end more; fold is a hash of the text. Null texts are empty."""
 
     def make():
-        enc = encoder(path, 4)
-        return lambda c: (c[0], [len(x) // 4 + end for x in enc.texts(c[1])], [zlib.crc32(t.encode()) for t in c[1]])
+        enc = encoder(path)
+        return lambda c: (c[0], [len(x) + end for x in enc.texts(c[1])], [zlib.crc32(t.encode()) for t in c[1]])
 
     return map_rows(texts(docs, id_col, text_col, binary=False), make, "doc_id long, n_tokens long, fold long")
 
@@ -126,13 +141,12 @@ def write(docs: DataFrame, path: str, folder: str, width: int = 2, id_col: str =
     ready_for_python(spark)
 
     def cutter():
-        enc, kind, seen = encoder(path, width), f"<u{width}", set()
-        end = np.array([END], kind).tobytes()
+        enc, kind, seen = encoder(path), f"<u{width}", set()
 
         def act(c: list) -> tuple:
             rows = []
-            for doc, raw in zip(c[0], enc.texts(c[1])):
-                ids, at, keys = np.frombuffer(raw + end, kind), 0, []
+            for doc, ids in zip(c[0], enc.texts(c[1])):
+                ids, at, keys = np.append(ids, END).astype(kind), 0, []
                 for e in boundaries(ids):
                     data = ids[at:e].tobytes()
                     keys.append(blake2b(data, digest_size=KEY).digest())

@@ -1,9 +1,13 @@
-"""Tokenizing long texts through a cache of short units.
+"""Tokenizing long texts through a table of short units.
 
 The byte-level pretokenizing pattern never joins characters across a single space between two non-space characters: the
 space begins the next match. So such a text's ids are those of its space-separated units, each (but the first) with its
 space in front, and a unit has to be encoded once only. A text with a space beside other white space, or in front or at
-the end, is one unit.
+the end, is encoded whole.
+
+Units are found and looked up for many texts at once: polynomial hashes of all units come from running sums over the
+bytes, and a table with two places for each unit has their ids. A unit counts as known if 96 bits of hash agree. Where both
+places are taken, the later unit has the second, so the table's size bounds memory and not what can be encoded.
 """
 
 from __future__ import annotations
@@ -11,50 +15,126 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
-#: Units that a worker keeps in each of two generations. Characters of text that are split at a time.
-CACHE, AT_ONCE = 300_000, 2_000_000
-_RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+import numpy as np
+
+#: Places of a worker's table, ids it holds before it is emptied, and bytes of text looked at together.
+PLACES, POOL, AT_ONCE = 1 << 21, 1 << 24, 1 << 20
+_RARE = re.compile("[\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 _BESIDE = re.compile(r"\s | \s")
-_USUAL = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_FIRST = np.uint64(0xA5A5A5A55A5A5A5B)
+
 
+def splits(text: str) -> bool:
+    """Whether the ids of a text are those of its units."""
+    odd = text[:1] == " " or text[-1:] == " " or "  " in text or (" \n" in text or "\n " in text) or ("\t" in text or "\r" in text or _RARE.search(text)) and _BESIDE.search(text)
+    return not odd
 
-def units(text: str) -> list[str]:
-    """The units of a text, without the spaces in front of all but the first."""
-    whole = text[:1] == " " or text[-1:] == " " or any(x in text for x in _USUAL) or _RARE.search(text) and _BESIDE.search(text)
-    return [text] if whole else text.split(" ")
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
 
 class Units:
-    """Encodes texts to bytes of ids by way of encode, which gives such bytes for each of a list of strings."""
+    """Ids of texts by way of encode, which gives for a list of strings all their ids in a row, and how many each has."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+        self.encode = encode
+        self.powers = [(_powers(b, AT_ONCE + 1), _powers(pow(b, -1, 1 << 64), AT_ONCE + 1)) for b in _BASES]
+        self._empty()
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode, self.young, self.old = encode, {}, {}
+    def _empty(self) -> None:
+        self.keys, self.more = np.zeros(PLACES, np.uint64), np.zeros(PLACES, np.uint32)
+        self.at, self.size = np.zeros(PLACES, np.int64), np.zeros(PLACES, np.int32)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        """Bytes of the ids of each text."""
-        held: list[list[str]] = []
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        held: list[bytes | str] = []
         size = 0
         for t in texts:
-            held.append(units(t))
-            size += len(t)
-            if size > AT_ONCE:
+            x = t.encode() if splits(t) else t
+            if size + len(x) >= AT_ONCE and held:
                 yield from self._some(held)
                 held, size = [], 0
-        yield from self._some(held)
-
-    def _some(self, split: list[list[str]]) -> Iterator[bytes]:
-        if len(self.young) > CACHE:
-            self.young, self.old = {}, self.young
-        young, old, need = self.young, self.old, set()
-        for u in split:
-            need.update(u[1:])
-        new = []
-        for u in need:
-            if u not in young:
-                if u in old:
-                    young[u] = old[u]
-                else:
-                    new.append(u)
-        young.update(zip(new, self.encode([f" {u}" for u in new])))
-        for u, first in zip(split, self.encode([u[0] for u in split])):
-            yield first + b"".join(map(young.__getitem__, u[1:]))
+            held.append(x)
+            size += len(x) + 1
+        if held:
+            yield from self._some(held)
+
+    def _some(self, held: list[bytes | str]) -> Iterator[np.ndarray]:
+        whole = [x for x in held if isinstance(x, str)]
+        others = iter(self._each(whole))
+        plain = [x for x in held if isinstance(x, bytes)]
+        if len(plain) == 1 and len(plain[0]) >= AT_ONCE:
+            found = iter([np.concatenate([self._ids([p], [k == 0])[0] for k, p in enumerate(_windows(plain[0]))])])
+        else:
+            found = iter(self._ids(plain, [True] * len(plain)) if plain else [])
+        for x in held:
+            yield next(found) if isinstance(x, bytes) else next(others)
+
+    def _each(self, texts: list[str]) -> list[np.ndarray]:
+        ids, sizes = self.encode(texts)
+        return np.split(ids, np.cumsum(sizes)[:-1]) if texts else []
+
+    def _ids(self, parts: list[bytes], fresh: list[bool]) -> list[np.ndarray]:
+        """Ids of parts, each less than AT_ONCE bytes together; a part that isn't fresh goes on after a space."""
+        if max(map(len, parts)) > AT_ONCE:  # a unit longer than that
+            return self._each([("" if f else " ") + p.decode() for p, f in zip(parts, fresh)])
+        raw = b" ".join(parts)
+        buf = np.frombuffer(raw, np.uint8)
+        gaps = np.flatnonzero(buf == 32)
+        starts, ends = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(buf)]])
+        lengths = np.array([len(p) for p in parts])
+        heads = np.searchsorted(starts, np.cumsum(lengths + 1) - lengths - 1)
+        first = np.zeros(len(starts), bool)
+        first[heads[np.array(fresh)]] = True
+        values = buf.astype(np.uint64) + np.uint64(1)
+        hashes = []
+        for powers, back in self.powers:
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers[: len(buf)], dtype=np.uint64)])
+            h = (sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64)
+            h[first] ^= _FIRST
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+            hashes.append(h ^ (h >> np.uint64(29)) | np.uint64(1))
+        key, more = hashes[0], (hashes[1] >> np.uint64(32)).astype(np.uint32)
+        if self.used > POOL:
+            self._empty()
+        place = (key >> np.uint64(40)).astype(np.int64) & (PLACES - 1)
+        at, size = self.at[place], self.size[place]
+        new = np.flatnonzero((self.keys[place] != key) | (self.more[place] != more))
+        other = (key[new] >> np.uint64(8)).astype(np.int64) & (PLACES - 1)
+        at[new], size[new] = self.at[other], self.size[other]
+        lost = np.flatnonzero((self.keys[other] != key[new]) | (self.more[other] != more[new]))
+        new, other = new[lost], other[lost]
+        if len(new):
+            _, some, which = np.unique(key[new], return_index=True, return_inverse=True)
+            p = np.where(self.keys[place[new[some]]] == 0, place[new[some]], other[some])
+            some = new[some]
+            words = [raw[a:e].decode() if f else " " + raw[a:e].decode() for a, e, f in zip(starts[some].tolist(), ends[some].tolist(), first[some].tolist())]
+            ids, sizes = self.encode(words)
+            ats = self.used + np.cumsum(sizes) - sizes
+            if self.used + len(ids) > len(self.pool):
+                self.pool = np.concatenate([self.pool, np.zeros(max(len(ids), len(self.pool)), np.uint32)])
+            self.pool[self.used : self.used + len(ids)] = ids
+            self.used += len(ids)
+            self.keys[p], self.more[p], self.at[p], self.size[p] = key[some], more[some], ats, sizes
+            at[new], size[new] = ats[which], sizes[which]
+        ends = np.cumsum(size, dtype=np.int64)
+        out = self.pool[np.repeat(at - ends + size, size) + np.arange(ends[-1])]
+        return np.split(out, (ends[heads] - size[heads])[1:])
+
+
+def _windows(raw: bytes) -> list[bytes]:
+    """A long text in runs of whole units, of less than AT_ONCE bytes where units allow; the spaces between runs are left out."""
+    out, at = [], 0
+    while len(raw) - at >= AT_ONCE:
+        cut = raw.rfind(b" ", at, at + AT_ONCE - 1)
+        cut = cut if cut > at else raw.find(b" ", at)
+        if cut <= at:
+            break
+        out.append(raw[at:cut])
+        at = cut + 1
+    return [*out, raw[at:]]
