@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import ann, bpe, classifier, packing, pii, rules, simhash, store, toxicity
+from gristmill.llm import ann, bpe, classifier, lm, packing, pii, rules, simhash, store, toxicity
 from gristmill.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op4_simhash_near_dedup, op5_pii, op6_toxicity, op7_bpe, op8_nearest_neighbours, op9_token_store, op10_quality_rules, pipeline)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_quality_classifier, op3_lm_scoring, op4_simhash_near_dedup, op5_pii, op6_toxicity, op7_bpe, op8_nearest_neighbours, op9_token_store, op10_quality_rules, pipeline)}
 
 
 def oracle_sql() -> dict:
