@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from gristmill.plans import analytics, curation, extensions, language, parsing, rollout_queries, sinks_queries, verification  # noqa: F401
+from gristmill.plans.registry import ORACLES, QUERIES
 
 
 def queries() -> dict:
