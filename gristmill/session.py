@@ -46,3 +46,10 @@ def cut(df: DataFrame) -> DataFrame:
     """df computed once and kept in the shared folder, so that lost executors don't matter."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_fresh(df: DataFrame) -> DataFrame:
+    """cut() without size estimates. A checkpoint keeps its plan's estimate, and joins multiply estimates: in a loop of joins
+    they get so many digits that planning takes longer than the work."""
+    jdf, spark = cut(df)._jdf, df.sparkSession
+    return DataFrame(spark._jsparkSession.createDataFrame(jdf.toJavaRDD(), jdf.schema()), spark)

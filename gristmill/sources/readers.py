@@ -29,8 +29,9 @@ def json_lines(spark: SparkSession, path: str, schema: StructType | str, strict:
     if strict:
         return spark.read.schema(shape).option("mode", "FAILFAST").json(path)
     marked = StructType(list(shape.fields)).add("_bad", "string")
-    rows = spark.read.schema(marked).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
-    return rows.filter(F.col("_bad").isNull() | (F.length("_bad") < 0)).select(*shape.fieldNames())
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    rows = lines.select(F.from_json("value", marked, {"columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    return rows.filter("r._bad IS NULL").select(*(f"r.{c}" for c in shape.fieldNames()))
 
 
 @reader("json")
