@@ -103,13 +103,15 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     table gives no rows, extra columns are ignored. Without trusted labels only the base rules decide.
     """
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    df = judged(own, fit(docs, trusted_ids(labels), id_col, text_col))
-    return df.select("doc_id", *(F.col(f"__{k}").alias(k) for k in _COUNTS), F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"), F.col("__llr").alias("llr"))
+    df = judged(own, fit(docs, trusted_ids(labels), id_col, text_col)).withColumn("__gate", F.rand(0))
+    # The gate always holds. A caller's filter on a result refers to it, and as it isn't deterministic, the optimizer leaves
+    # the filter above the projections; below them, it would hold each shared expression many times over.
+    held = lambda k: F.when(F.col("__gate") >= 0, F.col(f"__{k}")).alias(k)
+    return df.select("doc_id", *map(held, (*_COUNTS, "base_failed", "kept", "llr")))
 
 
 def passing(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that the rules keep, with their own columns."""
-    df = judged(docs, fit(docs, trusted_ids(labels), id_col, text_col), text_col).select(*docs.columns, "__kept", F.rand(0).alias("__gate"))
-    # The gate always holds. As it isn't deterministic, the optimizer leaves the filter above the projections; below them, it
-    # would hold each shared expression many times over.
-    return df.filter(F.col("__kept") & (F.col("__gate") >= 0)).select(*docs.columns)
+    own = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text_col).alias("__text"))
+    df = judged(own, fit(docs, trusted_ids(labels), id_col, text_col), "__text").select("__row", "__kept", F.rand(0).alias("__gate"))
+    return df.filter(F.col("__kept") & (F.col("__gate") >= 0)).select("__row.*")

@@ -96,6 +96,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Of rows that repeat that id, one stays. Rows with a null id can't be told apart by id; they all stay.
     """
-    kept = near_duplicates(docs, id_col, text_col).filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.join(kept, docs[id_col].cast("long") == F.col("__kept"), "left_semi").dropDuplicates([id_col])
+    name = "__kept"
+    while name in docs.columns:
+        name += "_"
+    kept = near_duplicates(docs, id_col, text_col).filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
+    named = docs.join(kept, docs[id_col].cast("long") == F.col(name), "left_semi").dropDuplicates([id_col])
     return named.unionByName(docs.filter(F.col(id_col).isNull()))

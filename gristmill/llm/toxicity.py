@@ -108,6 +108,8 @@ class Lexicon:
 
     def scores(self, sums: np.ndarray) -> np.ndarray:
         """Scores of (summed weights, words) rows."""
+        if not self.weights:
+            return np.full(len(sums), self.default)
         a, b, c = self.curve
         z = a + b * np.log1p(sums[:, 0]) + c * np.log1p(sums[:, 1])
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
