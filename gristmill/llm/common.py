@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from gristmill.session import ready_for_python
 
+#: Rows of a batch that are turned to Python objects together.
+ROWS = 1000
 #: ASCII lower-casing of bytes, and nothing else.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -37,9 +39,9 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[list], tuple]], schema:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         act = make()
-        for batch in batches:
-            if batch.num_rows:
-                cols = act([c.to_pylist() for c in batch.columns])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                cols = act([c.to_pylist() for c in whole.slice(at, ROWS).columns])
                 yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(cols, kinds, strict=True)], schema=kinds)
 
     return df.mapInArrow(run, schema)

@@ -3,7 +3,8 @@
 Each document's ids (with an end id) are cut into chunks where a rolling hash over the last WINDOW ids says so, so equal
 passages give equal chunks wherever they stand. The store is a folder:
 
-- chunks/   key (BLAKE2b of the chunk's bytes), data: the ids as little-endian integers of `width` bytes. Each key once.
+- chunks/   key (BLAKE2b of the chunk's bytes), data: the ids as little-endian integers of `width` bytes. Each key once. Beside
+            them, in columns of their own, the recipes as they were made.
 - recipes/  one file a range of ids, in ascending doc_id: part, doc_id, local_start, n_tokens, recipe (the chunks' keys in a
             row), root (the Merkle root of the keys). local_start counts the ids before the document in its part.
 - manifest/ part, n_docs, n_tokens, start (the ids of all parts before), root (the Merkle root of the documents' roots).
@@ -14,6 +15,7 @@ stops at the first that doesn't fit.
 
 from __future__ import annotations
 
+import string
 import uuid
 import zlib
 from functools import lru_cache
@@ -28,7 +30,7 @@ from gristmill.llm.common import map_rows, texts
 from gristmill.llm.units import Units
 from gristmill.session import cut, ready_for_python, shared_dir
 
-WINDOW, LEAST, MOST, MASK, END, KEY = 4, 64, 4096, (1 << 9) - 1, 0, 16
+WINDOW, LEAST, MOST, MASK, END, KEY = 4, 128, 8192, (1 << 10) - 1, 0, 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = [np.uint64(pow(0x5851F42D4C957F2D, k, 1 << 64)) for k in range(WINDOW)]
 
@@ -47,8 +49,9 @@ class Encoder:
 
     def _many(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each part has."""
-        plain = np.array([p[:1] == " " and p[1:].isalpha() for p in parts], bool)
-        one, one_sizes = self._lettered([p for p, x in zip(parts, plain.tolist()) if x])
+        bare = [p.rstrip(_STOPS) for p in parts]
+        plain = np.array([p[:1] == " " and p[1:].isalpha() for p in bare], bool)
+        one, one_sizes = self._lettered([p if len(p) == len(q) else f"{p}\n{q[len(p) :]}" for p, q, x in zip(bare, parts, plain.tolist()) if x])
         two = [e.ids for e in self.tok.encode_batch_fast([p for p, x in zip(parts, plain.tolist()) if not x], add_special_tokens=False)]
         sizes = np.zeros(len(parts), np.int64)
         sizes[plain], sizes[~plain] = one_sizes, [len(x) for x in two]
@@ -57,7 +60,7 @@ class Encoder:
         return ids, sizes
 
     def _lettered(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Parts of a space and letters: each is one piece for the pattern, so they skip it, with line ends in between."""
+        """Parts of a space and letters, and perhaps signs after them in a line of their own: pieces of the pattern already."""
         if not parts:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         spelled = "\n\0\n".join(parts).encode().decode("latin-1").translate(_LETTERS)
@@ -75,6 +78,7 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+_STOPS = string.punctuation  # after letters, any run of these is one piece of the pattern
 #: For translate(): pieces stand in lines, and a zero byte stands for the piece that is a line end.
 _LETTERS = _byte_letters() | {0: _byte_letters()[10], 10: "\n"}
 
@@ -152,9 +156,9 @@ def write(docs: DataFrame, path: str, folder: str, width: int = 2, id_col: str =
                     keys.append(blake2b(data, digest_size=KEY).digest())
                     if keys[-1] not in seen:
                         seen.add(keys[-1])
-                        rows.append((keys[-1], None, len(data) // width, data))
+                        rows.append((keys[-1], None, len(data) // width, data, None))
                     at = e
-                rows.append((None, doc, len(ids), b"".join(keys)))
+                rows.append((None, doc, len(ids), None, b"".join(keys)))
             return tuple(map(list, zip(*rows)))
 
         return act
@@ -170,10 +174,9 @@ def write(docs: DataFrame, path: str, folder: str, width: int = 2, id_col: str =
                     seen.add(k)
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    shape = "key binary, doc_id long, n long, data binary"
-    rows = map_rows(texts(docs, id_col, text_col, binary=False), cutter, shape)
-    dealt = rows.repartition(F.xxhash64("key", F.when(F.col("key").isNull(), F.xxhash64("data", "doc_id"))))
-    dealt.mapInArrow(unique, shape).withColumn("kind", F.when(F.col("key").isNull(), "recipe").otherwise("chunk")).write.partitionBy("kind").option("compression", "zstd").parquet(f"{folder}/data")
+    rows = map_rows(texts(docs, id_col, text_col, binary=False), cutter, _DATA)
+    dealt = rows.repartition(F.xxhash64("key", "recipe", "doc_id"))  # nulls don't count: copies of a chunk meet, recipes spread
+    dealt.mapInArrow(unique, _DATA).write.option("compression", "zstd").parquet(f"{folder}/chunks")
 
     def laid(batches):
         from pyspark import TaskContext
@@ -186,7 +189,7 @@ def write(docs: DataFrame, path: str, folder: str, width: int = 2, id_col: str =
             roots = [merkle(_split(r)) for r in b.column("recipe").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([part] * len(n), pa.int32()), b.column("doc_id"), pa.array(starts, pa.int64()), b.column("n_tokens"), b.column("recipe"), pa.array(roots, pa.binary())], ["part", "doc_id", "local_start", "n_tokens", "recipe", "root"])
 
-    recipes = _data(spark, folder, "recipe").select("doc_id", F.col("n").alias("n_tokens"), F.col("data").alias("recipe"))
+    recipes = _data(spark, folder).filter("recipe IS NOT NULL").select("doc_id", F.col("n").alias("n_tokens"), "recipe")
     ordered = recipes.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "recipe")
     ordered.mapInArrow(laid, "part int, doc_id long, local_start long, n_tokens long, recipe binary, root binary").write.parquet(f"{folder}/recipes")
     sums = {}
@@ -201,8 +204,12 @@ def write(docs: DataFrame, path: str, folder: str, width: int = 2, id_col: str =
     return spark.read.schema(manifest).parquet(f"{folder}/manifest")
 
 
-def _data(spark: SparkSession, folder: str, kind: str) -> DataFrame:
-    return spark.read.schema("key binary, doc_id long, n long, data binary, kind string").parquet(f"{folder}/data").filter(F.col("kind") == kind)
+#: A row of chunks/: a chunk (key, n, data), or a document's recipe before it is put in order (doc_id, n, recipe).
+_DATA = "key binary, doc_id long, n long, data binary, recipe binary"
+
+
+def _data(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(_DATA).parquet(f"{folder}/chunks")
 
 
 def _recipes(spark: SparkSession, folder: str) -> DataFrame:
@@ -237,7 +244,7 @@ def digests(spark: SparkSession, folder: str, width: int = 2) -> DataFrame:
             sums.append(zlib.crc32(np.frombuffer(data, f"<u{width}").astype("<u4").tobytes()))
         return c[0], [len(d) // width for d in c[1]], sums
 
-    chunks = map_rows(_data(spark, folder, "chunk").select("key", "data"), lambda: checked, "key binary, m long, crc long")
+    chunks = map_rows(_data(spark, folder).filter("key IS NOT NULL").select("key", "data"), lambda: checked, "key binary, m long, crc long")
     manifest = spark.read.schema("part int, n_docs long, n_tokens long, start long, root binary").parquet(f"{folder}/manifest")
     found = _recipe_roots(spark, folder).select("part", F.col("root").alias("found"))
     parts = manifest.join(found, "part", "left").select("part", F.when(F.col("root") == F.col("found"), F.col("start")).otherwise(F.raise_error(F.lit("a part doesn't fit the manifest")).cast("long")).alias("base"))
@@ -265,7 +272,7 @@ def reconstruct(spark: SparkSession, folder: str, width: int = 2) -> DataFrame:
     """(doc_id, ids array<int>) of every document of a store, with the end id."""
     recipes = _recipes(spark, folder)
     piece = recipes.select("part", "local_start", "doc_id", F.posexplode(F.transform(F.sequence(F.lit(0), (F.octet_length("recipe") / KEY).cast("int") - 1), lambda i: F.substring("recipe", i * KEY + 1, F.lit(KEY)))).alias("pos", "key"))
-    whole = piece.join(_data(spark, folder, "chunk").select("key", "data"), "key").groupBy("part", "local_start", "doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "data"))).alias("x"))
+    whole = piece.join(_data(spark, folder).filter("key IS NOT NULL").select("key", "data"), "key").groupBy("part", "local_start", "doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "data"))).alias("x"))
     return map_rows(whole.select("doc_id", F.col("x.data").alias("data")), lambda: lambda c: (c[0], [np.frombuffer(b"".join(d), f"<u{width}").astype("int32") for d in c[1]]), "doc_id long, ids array<int>")
 
 

@@ -18,8 +18,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 #: Places of a worker's table, ids it holds before it is emptied, and bytes of text looked at together.
-PLACES, POOL, AT_ONCE = 1 << 21, 1 << 24, 1 << 20
-_RARE = re.compile("[\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+PLACES, POOL, AT_ONCE = 1 << 21, 1 << 23, 1 << 21
+#: White space other than space, tab, line feed and carriage return.
+_RARE = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _BESIDE = re.compile(r"\s | \s")
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _FIRST = np.uint64(0xA5A5A5A55A5A5A5B)
@@ -27,8 +28,9 @@ _FIRST = np.uint64(0xA5A5A5A55A5A5A5B)
 
 def splits(text: str) -> bool:
     """Whether the ids of a text are those of its units."""
-    odd = text[:1] == " " or text[-1:] == " " or "  " in text or (" \n" in text or "\n " in text) or ("\t" in text or "\r" in text or _RARE.search(text)) and _BESIDE.search(text)
-    return not odd
+    if text[:1] == " " or text[-1:] == " " or "  " in text or " \n" in text or "\n " in text:
+        return False
+    return not (("\t" in text or "\r" in text or any(c in text for c in _RARE)) and _BESIDE.search(text))
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -42,7 +44,7 @@ class Units:
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.encode = encode
-        self.powers = [(_powers(b, AT_ONCE + 1), _powers(pow(b, -1, 1 << 64), AT_ONCE + 1)) for b in _BASES]
+        self.powers = [(_powers(b, AT_ONCE + 2), _powers(pow(b, -1, 1 << 64), AT_ONCE + 2)) for b in _BASES]
         self._empty()
 
     def _empty(self) -> None:
@@ -83,12 +85,12 @@ class Units:
         """Ids of parts, each less than AT_ONCE bytes together; a part that isn't fresh goes on after a space."""
         if max(map(len, parts)) > AT_ONCE:  # a unit longer than that
             return self._each([("" if f else " ") + p.decode() for p, f in zip(parts, fresh)])
-        raw = b" ".join(parts)
+        raw = b" " + b" ".join(parts)  # the space before a unit that isn't first is part of it
         buf = np.frombuffer(raw, np.uint8)
         gaps = np.flatnonzero(buf == 32)
-        starts, ends = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(buf)]])
+        starts, ends = gaps + 1, np.append(gaps[1:], len(buf))
         lengths = np.array([len(p) for p in parts])
-        heads = np.searchsorted(starts, np.cumsum(lengths + 1) - lengths - 1)
+        heads = np.searchsorted(starts, np.cumsum(lengths + 1) - lengths)
         first = np.zeros(len(starts), bool)
         first[heads[np.array(fresh)]] = True
         values = buf.astype(np.uint64) + np.uint64(1)
@@ -113,7 +115,7 @@ class Units:
             _, some, which = np.unique(key[new], return_index=True, return_inverse=True)
             p = np.where(self.keys[place[new[some]]] == 0, place[new[some]], other[some])
             some = new[some]
-            words = [raw[a:e].decode() if f else " " + raw[a:e].decode() for a, e, f in zip(starts[some].tolist(), ends[some].tolist(), first[some].tolist())]
+            words = [raw[a:e].decode() for a, e in zip((starts - 1 + first)[some].tolist(), ends[some].tolist())]
             ids, sizes = self.encode(words)
             ats = self.used + np.cumsum(sizes) - sizes
             if self.used + len(ids) > len(self.pool):
