@@ -31,7 +31,7 @@ from gristmill.session import cut, ready_for_python
 HELD_PARTS, HELD = 5, 1
 #: Most head words; documents that set the first weights; bytes of text looked at together; slots summed in one row.
 HEAD, FIRST_LOOK, AT_ONCE, SLOTS = 1 << 19, 256, 1 << 20, 1 << 16
-LEAST, BIAS, FIRST_WEIGHT, RIDGE = 2, 0.25, 0.35, 2.0
+LEAST, BIAS, FIRST_WEIGHT, RIDGE, WAITING = 2, 0.25, 0.35, 2.0, 4_000_000
 END = b"\n"  # no word has a line end
 
 
@@ -57,14 +57,30 @@ class Stream:
         down = np.arange(self.levels)
         return (1 << down) | (symbols[:, None] >> (self.levels - down)), (symbols[:, None] >> (self.levels - 1 - down)) & 1
 
-    def count(self, symbols: np.ndarray, history: list[np.ndarray], into: np.ndarray) -> None:
-        """Add the decisions to into[bit, slot], all tables in a row."""
+    def seen(self, symbols: np.ndarray, history: list[np.ndarray]) -> list[np.ndarray]:
+        """Of each table, the slots of all decisions; those of one bits after those of zero bits."""
         node, bit = self.decisions(symbols)
+        return [(first[:, None] + node + (bit << bits)).ravel().astype(np.uint32) for first, bits in zip(self.slots(history), self.tables)]
+
+
+class Sums:
+    """Counts of a stream's decisions as [bit, slot]; slots wait until there are many, as each count goes over whole tables."""
+
+    def __init__(self, stream: Stream, into: np.ndarray):
+        self.stream, self.into, self.held = stream, into, []
+
+    def add(self, symbols: np.ndarray, history: list[np.ndarray]) -> None:
+        self.held.append(self.stream.seen(symbols, history))
+        if sum(len(h[0]) for h in self.held) > WAITING:
+            self.flush()
+
+    def flush(self) -> None:
         at = 0
-        for first, bits in zip(self.slots(history), self.tables):
-            slot = (first[:, None] + node + (bit << bits)).ravel()
-            into[:, at : at + (1 << bits)] += np.bincount(slot, minlength=2 << bits).reshape(2, -1).astype(np.uint32)
+        for k, bits in enumerate(self.stream.tables if self.held else ()):
+            slots = np.concatenate([h[k] for h in self.held])
+            self.into[:, at : at + (1 << bits)] += np.bincount(slots, minlength=2 << bits).reshape(2, -1).astype(np.uint32)
             at += 1 << bits
+        self.held = []
 
 
 WORDS, BYTES = Stream(8, (16, 20, 20), 128, 0.01), Stream(8, (16, 20, 20), 256, 0.002)
@@ -282,13 +298,16 @@ def _tables(docs: DataFrame, vocabulary) -> np.ndarray:
         from pyspark import TaskContext
 
         v, sums = vocabulary.value.ready(), np.zeros((2, size), np.uint32)
+        words_seen, bytes_seen = Sums(WORDS, sums[:, : WORDS.size]), Sums(BYTES, sums[:, WORDS.size :])
         for b in batches:
             for words in _groups(b.column("text").to_pylist()):
                 ids, _, place, rare, rare_doc = v.read(words)
                 symbols = v.classes[ids]
-                WORDS.count(symbols, _history(symbols, place), sums[:, : WORDS.size])
+                words_seen.add(symbols, _history(symbols, place))
                 raw, history, _, _ = _spelled(rare, rare_doc, len(words))
-                BYTES.count(raw, history, sums[:, WORDS.size :])
+                bytes_seen.add(raw, history)
+        words_seen.flush()
+        bytes_seen.flush()
         task = TaskContext.get().partitionId()
         for at in range(0, size, SLOTS):
             part = sums[:, at : at + SLOTS]
