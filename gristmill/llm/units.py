@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 #: Places of a worker's table, ids it holds before it is emptied, and bytes of text looked at together.
-PLACES, POOL, AT_ONCE = 1 << 21, 1 << 23, 1 << 21
+PLACES, POOL, AT_ONCE = 1 << 21, 1 << 23, 1 << 20
 #: White space other than space, tab, line feed and carriage return.
 _RARE = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _BESIDE = re.compile(r"\s | \s")
