@@ -83,7 +83,7 @@ class Sums:
         self.held = []
 
 
-WORDS, BYTES = Stream(8, (16, 20, 20), 128, 0.01), Stream(8, (16, 20, 20), 256, 0.002)
+WORDS, BYTES = Stream(8, (16, 20, 20), 256, 0.01), Stream(8, (16, 20, 20), 512, 0.002)
 
 
 class Mixer:
