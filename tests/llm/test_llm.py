@@ -111,6 +111,20 @@ def test_log_ratio(spark, docs, labels):
     assert got == pytest.approx(want, abs=1e-5)
 
 
+def test_buckets_of_a_word_are_the_same_everywhere(spark):
+    df = spark.createDataFrame([(["a", "b", "a", "b", "a"],)], "w array<string>")
+    r = df.select(rules._buckets("w").alias("b"), F.xxhash64(F.lit("a")).alias("a"), F.xxhash64(F.lit("b"), F.lit("a")).alias("ba")).first()
+    assert [r["b"][k] for k in (0, 2, 4)] == [(r["a"] + 1) % rules.BUCKETS] * 3 and [r["b"][k] for k in (6, 8)] == [(r["ba"] + 2) % rules.BUCKETS] * 2
+
+
+def test_rules_reject_low_quality_texts_that_are_held_out(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 1
+    bad = {r["doc_id"] for r in labels.filter(held & (F.col("quality") == 0)).collect()}
+    judged = [r for r in rows(rules.quality_rules(docs.repartition(4), labels.filter(~held))) if r["doc_id"] in bad and not r["base_failed"]]
+    assert judged and sum(not r["kept"] for r in judged) >= 0.9 * len(judged)
+
+
 def test_rules_stay_in_the_engine(docs, labels):
     plan = rules.quality_rules(docs, labels)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
