@@ -52,6 +52,10 @@ class Stream:
             out.append((key & (rooms - 1)) << self.levels)
         return out
 
+    def blocks(self, place: np.ndarray) -> np.ndarray:
+        """Each place's block. The first block is dealt out in parts that double, so that short texts move the weights too."""
+        return np.where(place < self.block, np.digitize(place, (self.block // 8, self.block // 4, self.block // 2)), 3 + place // self.block)
+
     def decisions(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """[symbol, level]: node of the code tree, and the bit that follows there."""
         down = np.arange(self.levels)
@@ -83,7 +87,7 @@ class Sums:
         self.held = []
 
 
-WORDS, BYTES = Stream(8, (16, 20, 20), 256, 0.01), Stream(8, (16, 20, 20), 512, 0.002)
+WORDS, BYTES = Stream(8, (16, 20, 20), 128, 0.01), Stream(8, (16, 20, 20), 256, 0.002)
 
 
 class Mixer:
@@ -110,8 +114,9 @@ class Mixer:
         gates, inputs = st.levels * 4, len(st.tables) + 1
         w = np.tile(self.weights, (docs, 1))
         first, tables = st.slots(history), self.odds
-        order = np.argsort(place // st.block, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff((place // st.block)[order])) + 1) if len(order) else ():
+        block = st.blocks(place)
+        order = np.argsort(block, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(block[order])) + 1) if len(order) else ():
             node, bit = st.decisions(symbols[rows])
             slots = [f[rows][:, None] + node for f in first]
             x = [t[s] for t, s in zip(tables, slots)]

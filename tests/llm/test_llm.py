@@ -374,6 +374,19 @@ def test_language_model_sums_to_one():
         assert np.exp(v.share[v.classes == k]).sum() == pytest.approx(1)
 
 
+def test_language_model_adapts_within_short_texts():
+    """The same word 64 times: the weights move, so later ones are likelier than at the start weights."""
+    counts = np.zeros((2, lm.WORDS.size), np.uint32)
+    counts[1] = 3
+    zero, n = np.zeros(64, np.int64), 64
+    m = lm.Mixer(lm.WORDS, counts)
+    symbols = np.full(n, 255)
+    moved = m.log_prob(symbols, [zero] * 3, zero, np.arange(n), 1)[0]
+    fixed = m.log_prob(symbols, [zero] * 3, np.arange(n), zero, n).sum()
+    assert moved > fixed + 1e-3
+    assert lm.WORDS.blocks(np.array([0, 15, 16, 32, 64, 127, 128, 255, 256])).tolist() == [0, 0, 1, 2, 3, 3, 4, 4, 5]
+
+
 def test_pipeline(spark):
     import corpus_pipeline as c
 
