@@ -33,15 +33,15 @@ def protected_spans(spark, d):
 @query()
 def sequence_similarity(spark, d):
     c = table(spark, d, "conversations")
-    nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.substring("text", 1, 400).alias("after"))
+    nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("after"))
     j = c.join(nxt, ["conv_id", "turn"])
-    return j.select("conv_id", "turn", F.round(L.similarity(F.substring("text", 1, 400), F.col("after")), 9).alias("ratio"))
+    return j.select("conv_id", "turn", F.round(L.similarity(F.col("text"), F.col("after")), 9).alias("ratio"))
 
 
 @query()
 def translation_scores(spark, d):
     m = lambda *t: F.array(*(F.struct(F.lit(r).alias("from"), x.alias("value")) for r, x in zip(("human", "gpt"), t)))
-    c = table(spark, d, "documents").select("doc_id", m(F.substring("text", 1, 200), F.lit("See https://example.org/x and 5 kg")).alias("s"), m(F.lit("नेपाल राम्रो छ"), F.when(F.col("doc_id") % 2 == 0, "हेर्नुहोस् https://example.org/x र 5 kg").otherwise("")).alias("t"))
+    c = table(spark, d, "documents").select("doc_id", m(F.col("text"), F.lit("See https://example.org/x and 5 kg")).alias("s"), m(F.lit("नेपाल राम्रो छ"), F.when(F.col("doc_id") % 2 == 0, "हेर्नुहोस् https://example.org/x र 5 kg").otherwise("")).alias("t"))
     return c.select("doc_id", L.translation("s", "t", F.lit(None).cast(L.MESSAGES)).alias("x")).select("doc_id", F.round("x.score", 9).alias("score"), F.round("x.protected", 9).alias("protected"))
 
 

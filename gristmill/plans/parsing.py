@@ -71,7 +71,7 @@ _MARKED = "SELECT doc_id, '<think>' || left(text, 10) || '</think> a <python> x
 def _marked(spark, d):
     docs = table(spark, d, "documents")
     i = F.col("doc_id").cast("string")
-    t = F.concat(F.lit("<think>"), F.substring("text", 1, 10), F.lit("</think> a <python> x = "), i, F.lit(" </python> \\boxed{"), i, F.lit("} <final_answer> "), (F.col("doc_id") * 2).cast("string"), F.lit(' </final_answer><tool_call>{"name": "f", "arguments": {"b": 1.0, "a": '), i, F.lit("}}</tool_call>"), F.when(F.col("doc_id") % 4 == 0, "<repl>x</repl>").otherwise(""))
+    t = F.concat(F.lit("<think>"), F.col("text"), F.lit("</think> a <python> x = "), i, F.lit(" </python> \\boxed{"), i, F.lit("} <final_answer> "), (F.col("doc_id") * 2).cast("string"), F.lit(' </final_answer><tool_call>{"name": "f", "arguments": {"b": 1.0, "a": '), i, F.lit("}}</tool_call>"), F.when(F.col("doc_id") % 4 == 0, "<repl>x</repl>").otherwise(""))
     return docs.select("doc_id", t.alias("t"))
 
 

@@ -50,3 +50,16 @@ def test_entry(spark):
     df = e.entry(spark)
     assert df.columns == ["doc_id", "n_shingles", "n_hits", "share"]
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_whole_texts_are_compared(spark, tmp_path):
+    from difflib import SequenceMatcher
+
+    a, b = "same words " * 60 + "an end", "same words " * 60 + "another one altogether"
+    spark.createDataFrame([(1, 0, "human", a), (1, 1, "gpt", b)], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.createDataFrame([(2, "word " * 100 + "https://example.com/a")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert QUERIES["sequence_similarity"](spark, str(tmp_path)).first()["ratio"] == pytest.approx(SequenceMatcher(None, a, b).ratio(), abs=1e-6)
+    assert QUERIES["translation_scores"](spark, str(tmp_path)).first()["protected"] < 0.7
+    from gristmill.plans import parsing
+
+    assert "https://example.com/a</think>" in parsing._marked(spark, str(tmp_path)).first()["t"]
