@@ -117,6 +117,12 @@ def normalize_key(spark, d):
     return docs.select("doc_id", T.normalize_key(F.col("text")).alias("key"))
 
 
+@query()
+def normalize_key_all(spark, d):
+    """A key for every document; the SQL of normalize_key has no case folding, so it leaves out texts with a sharp s."""
+    return table(spark, d, "documents").select("doc_id", T.normalize_key(F.col("text")).alias("key"))
+
+
 @query("SELECT page_id, left(trim(regexp_replace(url, '[^A-Za-z0-9]+', '_', 'g'), '_'), 60) AS slug FROM pages")
 def slugs(spark, d):
     return table(spark, d, "pages").select("page_id", T.slug(F.col("url")).alias("slug"))

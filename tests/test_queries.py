@@ -63,3 +63,11 @@ def test_whole_texts_are_compared(spark, tmp_path):
     from gristmill.plans import parsing
 
     assert "https://example.com/a</think>" in parsing._marked(spark, str(tmp_path)).first()["t"]
+
+
+def test_every_document_has_a_key(spark):
+    import unicodedata
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()
+    want = sorted((r[0], " ".join(unicodedata.normalize("NFC", r[1]).split()).casefold()) for r in docs)
+    assert any("ß" in r[1] for r in docs) and sorted(map(tuple, QUERIES["normalize_key_all"](spark, DATA).select("doc_id", "key").collect())) == want
