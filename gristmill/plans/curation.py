@@ -65,8 +65,18 @@ c AS (SELECT x, min(y) AS split_group FROM r GROUP BY x)
 SELECT event_id, split_group, CASE WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'validation' ELSE 'test' END AS split FROM (SELECT event_id, split_group, {_U.format(k='split_group')} AS u
   FROM events JOIN c ON c.x = 'document:' || user_id // 3 WHERE event_id % 50 = 0)""")
 def component_split(spark, d):
-    """Rows that share a document or a query share a split; every fiftieth event stands for a row."""
-    e = table(spark, d, "events").filter("event_id % 50 = 0").select("event_id", F.expr("cast(user_id div 3 as string)").alias("doc"), F.expr("cast((event_id % 97) div 2 * 10 + user_id div 30 as string)").alias("q"))
+    """Rows that share a document or a query share a split; every fiftieth event stands for a row, as in the SQL."""
+    return _split(table(spark, d, "events").filter("event_id % 50 = 0"))
+
+
+@query()
+def component_split_all(spark, d):
+    """component_split over the whole table; the recursive SQL is too slow for that."""
+    return _split(table(spark, d, "events"))
+
+
+def _split(events):
+    e = events.select("event_id", F.expr("cast(user_id div 3 as string)").alias("doc"), F.expr("cast((event_id % 97) div 2 * 10 + user_id div 30 as string)").alias("q"))
     return C.split_groups(e, F.col("doc"), F.col("q")).select("event_id", "split_group", "split")
 
 
