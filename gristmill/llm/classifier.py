@@ -47,7 +47,7 @@ def statistics(text: bytes) -> list[float]:
     upper, digit, symbol, bang, stop, other, high, pipe = (_CLASSES @ hist / chars).tolist()
     lines = [x for x in text.split(b"\n") if x.strip()]
     pairs = max(1, n - 1)
-    shouted = sum(map(bytes.isupper, w[:: max(1, n // 512)])) / len(w[:: max(1, n // 512)])
+    shouted = sum(map(bytes.isupper, w)) / n
     return [
         float(np.log1p(n)), (chars - n + 1) / n, upper, digit, symbol, bang, stop, other, high, len(set(w)) / n,
         sum(map(bytes.__eq__, w, w[1:])) / pairs, len(set(zip(w, w[1:]))) / pairs if n > 1 else 1.0,

@@ -143,6 +143,11 @@ def test_classifier(spark, odd, labels):
     assert classifier.accepted(odd, labels.limit(0)).count() == len(ODD) + 2
 
 
+def test_all_words_count_for_capitals():
+    text = b"AB cd " * 1024
+    assert classifier.statistics(text)[classifier.STATS.index("inner_case")] == 0.5
+
+
 def test_isotonic():
     x, y = classifier.isotonic(np.arange(5.0), np.array([0, 1, 0, 1, 1.0]), np.ones(5))
     assert y.tolist() == [0, 0.5, 1, 1] or y.tolist() == [0, 0.5, 1]
