@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import unicodedata
 from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 
 from gristmill.llm.common import map_rows, texts
@@ -163,13 +165,38 @@ def load(path: str) -> Bpe:
         return Bpe({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)})
 
 
+#: A code point that no version of Unicode has given a meaning: neither letter nor number nor white space.
+_NOTHING = "\uffff"
+
+
+@lru_cache(maxsize=1)
+def strangers() -> regex.Pattern | None:
+    """What matches code points that are letters or numbers to regex, but not yet to the engine that tiktoken splits with.
+
+    The two know different versions of Unicode. Candidates are those that Python's own tables, older than both, have not
+    assigned; each is put to tiktoken with a vocabulary that shows the pieces: 'a and the first byte of a letter merge, and
+    so does an apostrophe with an s unless it ends a piece of signs.
+    """
+    blank = "".join(c for c in map(chr, (*range(0xD800), *range(0xE000, 0x110000))) if unicodedata.category(c) == "Cn")
+    vocabulary = {bytes([b]): b for b in range(256)} | {b"'s": 256} | {b"a" + bytes([b]): b + 257 for b in range(0xC2, 0xF5)}
+    ask = tiktoken.Encoding("probe", pat_str=r"'s| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+", mergeable_ranks=vocabulary, special_tokens={}).encode_ordinary
+    new = [c for c in regex.findall(r"[\p{L}\p{N}]", blank) if ask("a" + c)[0] < 256 and ask(c + "'s")[-1] != 256]
+    return regex.compile(f"[{''.join(map(regex.escape, new))}]") if new else None
+
+
 class Encoder:
     """Texts to ids: pieces by a pattern, each encoded for itself."""
 
     def __init__(self, path: str, pattern: str):
-        self.bpe, self.split = load(path), regex.compile(pattern).findall
+        self.bpe, self.pattern = load(path), regex.compile(pattern)
         self.texts = Units(self._many)
 
+    def split(self, text: str) -> list[str]:
+        """The matches of the pattern, with the letters and numbers that tiktoken knows."""
+        if text.isascii() or not (new := strangers()) or not new.search(text):
+            return self.pattern.findall(text)
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(new.sub(_NOTHING, text))]
+
     def _many(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids: list[int] = []
         sizes = []

@@ -5,9 +5,10 @@ space begins the next match. So such a text's ids are those of its space-separat
 space in front, and a unit has to be encoded once only. A text with a space beside other white space, or in front or at
 the end, is encoded whole.
 
-Units are found and looked up for many texts at once: polynomial hashes of all units come from running sums over the
-bytes, and a table with two places for each unit has their ids. A unit counts as known if 96 bits of hash agree. Where both
-places are taken, the later unit has the second, so the table's size bounds memory and not what can be encoded.
+Units are found and looked up for many texts at once. A unit of up to SHORT bytes is its own key: its bytes, its length and
+whether it begins a text fill two 64-bit numbers, so equal keys are equal units, and a table with two places for each key
+has their ids. Where both places are taken, the later unit has the second, so the table's size bounds memory and not what
+can be encoded. Longer units are kept under their bytes.
 """
 
 from __future__ import annotations
@@ -19,11 +20,16 @@ import numpy as np
 
 #: Places of a worker's table, ids it holds before it is emptied, and bytes of text looked at together.
 PLACES, POOL, AT_ONCE = 1 << 21, 1 << 23, 1 << 20
+#: Bytes of a unit that its key has room for, and bytes of longer units that are kept, in all and each.
+SHORT, LONG, EACH = 15, 1 << 23, 256
 #: White space other than space, tab, line feed and carriage return.
 _RARE = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _BESIDE = re.compile(r"\s | \s")
-_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_FIRST = np.uint64(0xA5A5A5A55A5A5A5B)
+#: Of bytes: white space, first and last bytes of white space beyond ASCII.
+_WHITE, _LEADS, _TAILS = (np.isin(np.arange(256), list(x)) for x in (b" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f", {c.encode()[0] for c in _RARE[6:]}, {c.encode()[-1] for c in _RARE[6:]}))
+#: Of so many bytes (0 to 8) all bits.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_ENTRY = np.dtype([("low", "<u8"), ("high", "<u8"), ("at", "<u4"), ("size", "<u4")])
 
 
 def splits(text: str) -> bool:
@@ -33,10 +39,22 @@ def splits(text: str) -> bool:
     return not (("\t" in text or "\r" in text or any(c in text for c in _RARE)) and _BESIDE.search(text))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+def suspects(parts: list[bytes]) -> list[int]:
+    """The parts that may not split: those with a space beside another, or beside bytes that may be white space."""
+    buf = np.frombuffer(b"\0\0 " + b" ".join(parts) + b" \0\0", np.uint8)
+    gaps = np.flatnonzero(buf == 32)
+    after, before = buf[gaps + 1], buf[gaps - 1]
+    odd = _WHITE[after] | _WHITE[before]
+    more = np.flatnonzero(_LEADS[after])
+    odd[more] |= (after[more] != 0xC2) | _TAILS[buf[gaps[more] + 2]]
+    more = np.flatnonzero(_TAILS[before])
+    odd[more] |= (buf[gaps[more] - 2] == 0xC2) | (_LEADS[buf[gaps[more] - 3]] & (buf[gaps[more] - 3] != 0xC2))
+    if not odd.any():
+        return []
+    starts = np.cumsum([3] + [len(p) + 1 for p in parts])  # of the parts, and one past the last
+    at = gaps[odd]
+    out = np.concatenate([np.searchsorted(starts, at, "right") - 1, np.searchsorted(starts, at + 1, "right") - 1])
+    return np.unique(out[(out >= 0) & (out < len(parts))]).tolist()
 
 
 class Units:
@@ -44,38 +62,38 @@ class Units:
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.encode = encode
-        self.powers = [(_powers(b, AT_ONCE + 2), _powers(pow(b, -1, 1 << 64), AT_ONCE + 2)) for b in _BASES]
         self._empty()
 
     def _empty(self) -> None:
-        self.keys, self.more = np.zeros(PLACES, np.uint64), np.zeros(PLACES, np.uint32)
-        self.at, self.size = np.zeros(PLACES, np.int64), np.zeros(PLACES, np.int32)
+        self.table, self.long, self.kept = np.zeros(PLACES, _ENTRY), {}, 0
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
-        held: list[bytes | str] = []
+        held: list[str] = []
+        raws: list[bytes] = []
         size = 0
         for t in texts:
-            x = t.encode() if splits(t) else t
-            if size + len(x) >= AT_ONCE and held:
-                yield from self._some(held)
-                held, size = [], 0
-            held.append(x)
-            size += len(x) + 1
+            raw = t.encode()
+            if size + len(raw) >= AT_ONCE and held:
+                yield from self._some(held, raws)
+                held, raws, size = [], [], 0
+            held.append(t)
+            raws.append(raw)
+            size += len(raw) + 1
         if held:
-            yield from self._some(held)
+            yield from self._some(held, raws)
 
-    def _some(self, held: list[bytes | str]) -> Iterator[np.ndarray]:
-        whole = [x for x in held if isinstance(x, str)]
-        others = iter(self._each(whole))
-        plain = [x for x in held if isinstance(x, bytes)]
+    def _some(self, held: list[str], raws: list[bytes]) -> Iterator[np.ndarray]:
+        whole = {k for k in suspects(raws) if not splits(held[k])}
+        others = iter(self._each([held[k] for k in sorted(whole)]))
+        plain = [r for k, r in enumerate(raws) if k not in whole]
         if len(plain) == 1 and len(plain[0]) >= AT_ONCE:
             found = iter([np.concatenate([self._ids([p], [k == 0])[0] for k, p in enumerate(_windows(plain[0]))])])
         else:
             found = iter(self._ids(plain, [True] * len(plain)) if plain else [])
-        for x in held:
-            yield next(found) if isinstance(x, bytes) else next(others)
+        for k in range(len(held)):
+            yield next(others) if k in whole else next(found)
 
     def _each(self, texts: list[str]) -> list[np.ndarray]:
         ids, sizes = self.encode(texts)
@@ -86,48 +104,71 @@ class Units:
         if max(map(len, parts)) > AT_ONCE:  # a unit longer than that
             return self._each([("" if f else " ") + p.decode() for p, f in zip(parts, fresh)])
         raw = b" " + b" ".join(parts)  # the space before a unit that isn't first is part of it
-        buf = np.frombuffer(raw, np.uint8)
-        gaps = np.flatnonzero(buf == 32)
-        starts, ends = gaps + 1, np.append(gaps[1:], len(buf))
+        gaps = np.flatnonzero(np.frombuffer(raw, np.uint8) == 32)
+        starts, ends = gaps + 1, np.append(gaps[1:], len(raw))
         lengths = np.array([len(p) for p in parts])
         heads = np.searchsorted(starts, np.cumsum(lengths + 1) - lengths)
         first = np.zeros(len(starts), bool)
         first[heads[np.array(fresh)]] = True
-        values = buf.astype(np.uint64) + np.uint64(1)
-        hashes = []
-        for powers, back in self.powers:
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers[: len(buf)], dtype=np.uint64)])
-            h = (sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64)
-            h[first] ^= _FIRST
-            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
-            hashes.append(h ^ (h >> np.uint64(29)) | np.uint64(1))
-        key, more = hashes[0], (hashes[1] >> np.uint64(32)).astype(np.uint32)
-        if self.used > POOL:
+        if self.used > POOL or self.kept > LONG:
             self._empty()
-        place = (key >> np.uint64(40)).astype(np.int64) & (PLACES - 1)
-        at, size = self.at[place], self.size[place]
-        new = np.flatnonzero((self.keys[place] != key) | (self.more[place] != more))
-        other = (key[new] >> np.uint64(8)).astype(np.int64) & (PLACES - 1)
-        at[new], size[new] = self.at[other], self.size[other]
-        lost = np.flatnonzero((self.keys[other] != key[new]) | (self.more[other] != more[new]))
-        new, other = new[lost], other[lost]
-        if len(new):
-            _, some, which = np.unique(key[new], return_index=True, return_inverse=True)
-            p = np.where(self.keys[place[new[some]]] == 0, place[new[some]], other[some])
-            some = new[some]
-            words = [raw[a:e].decode() for a, e in zip((starts - 1 + first)[some].tolist(), ends[some].tolist())]
-            ids, sizes = self.encode(words)
-            ats = self.used + np.cumsum(sizes) - sizes
-            if self.used + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros(max(len(ids), len(self.pool)), np.uint32)])
-            self.pool[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.keys[p], self.more[p], self.at[p], self.size[p] = key[some], more[some], ats, sizes
-            at[new], size[new] = ats[which], sizes[which]
-        ends = np.cumsum(size, dtype=np.int64)
+        units = lambda some: [raw[a:e] for a, e in zip((starts - 1 + first)[some].tolist(), ends[some].tolist())]
+        n = ends - starts
+        at, size = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
+        short = n <= SHORT
+        self._short(raw, starts, n, first, np.flatnonzero(short), units, at, size)
+        if not short.all():
+            self._long(np.flatnonzero(~short), units, at, size)
+        ends = np.cumsum(size)
         out = self.pool[np.repeat(at - ends + size, size) + np.arange(ends[-1])]
         return np.split(out, (ends[heads] - size[heads])[1:])
 
+    def _short(self, raw: bytes, starts: np.ndarray, n: np.ndarray, first: np.ndarray, rows: np.ndarray, units: Callable, at: np.ndarray, size: np.ndarray) -> None:
+        """Fill in where the ids of the short units (rows) are, and how many."""
+        starts, n = starts[rows], n[rows]
+        eight = np.ndarray(len(raw) + 9, "<u8", raw + bytes(16), strides=(1,))  # the eight bytes from each place on
+        low = eight[starts] & _FIRST_BYTES[np.minimum(n, 8)]
+        high = eight[np.minimum(starts + 8, len(raw))] & _FIRST_BYTES[np.maximum(n - 8, 0)]
+        high |= (n + 32 + 16 * first[rows]).astype(np.uint64) << np.uint64(56)
+        h = (low ^ (high << np.uint64(29)) ^ (high >> np.uint64(35))) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        place, other = ((h >> np.uint64(k)).astype(np.int64) & (PLACES - 1) for k in (40, 16))
+        got = self.table[place]
+        new = np.flatnonzero((got["low"] != low) | (got["high"] != high))
+        got[new] = self.table[other[new]]
+        new = new[(got["low"][new] != low[new]) | (got["high"][new] != high[new])]
+        at[rows], size[rows] = got["at"], got["size"]
+        if not len(new):
+            return
+        words: dict[bytes, int] = {}
+        which = np.array([words.setdefault(w, len(words)) for w in units(rows[new])])
+        ats, sizes = self._encoded(list(words))
+        at[rows[new]], size[rows[new]] = ats[which], sizes[which]
+        entry = np.zeros(len(new), _ENTRY)
+        entry["low"], entry["high"], entry["at"], entry["size"] = low[new], high[new], ats[which], sizes[which]
+        self.table[np.where(self.table["high"][place[new]] == 0, place[new], other[new])] = entry
+
+    def _long(self, rows: np.ndarray, units: Callable, at: np.ndarray, size: np.ndarray) -> None:
+        """The same for the longer units."""
+        found = units(rows)
+        words = [w for w in dict.fromkeys(found) if w not in self.long]
+        fresh = dict(zip(words, zip(*(x.tolist() for x in self._encoded(words))))) if words else {}
+        at[rows], size[rows] = np.array([fresh.get(w) or self.long[w] for w in found]).T
+        for w, p in fresh.items():
+            if len(w) <= EACH:
+                self.long[w] = p
+                self.kept += len(w)
+
+    def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Encode units into the pool: where their ids begin there, and how many they are."""
+        ids, sizes = self.encode([w.decode() for w in words])
+        ats = self.used + np.cumsum(sizes) - sizes
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(ids), len(self.pool)), np.uint32)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        return ats, sizes
+
 
 def _windows(raw: bytes) -> list[bytes]:
     """A long text in runs of whole units, of less than AT_ONCE bytes where units allow; the spaces between runs are left out."""

@@ -262,6 +262,44 @@ def test_units_are_the_whole_text():
     assert sum(map(len, units._windows(b"ab " * 900_000))) < 2_700_000
 
 
+def test_units_whose_hashes_would_collide():
+    """Thue-Morse words and their complements agree under every polynomial hash modulo 2**64; tables are emptied on the way."""
+    ranks = bpe.load(RANKS).ranks
+    tik, tok = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={}), Tokenizer.from_file(JSON)
+    texts = []
+    for n in (512, 1024, 2048, 4096):
+        word = "".join("ab"[i.bit_count() & 1] for i in range(n))
+        other = word.translate(str.maketrans("ab", "ba"))
+        texts += [f"x {word} {other}", word, other, f"{other} {word} {word}"]
+    rng = random.Random(8)
+    texts += [" ".join("".join(rng.choice("abé漢à") for _ in range(rng.randint(1, 30))) for _ in range(60)) for _ in range(300)]
+    one, two = store.Encoder(JSON), bpe.Encoder(RANKS, P.PATTERN)
+    for k in range(3):
+        for t, a, b in zip(texts, one.texts(texts), two.texts(texts)):
+            assert a.tolist() == tok.encode(t, add_special_tokens=False).ids and b.tolist() == tik.encode_ordinary(t)
+        one.texts.used = two.texts.kept = 1 << 40  # both are emptied at the next text
+
+
+def test_texts_that_do_not_split_are_suspect():
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("ab  \n\t\x85\xa0\u2003\u3000àé“") for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    found = set(units.suspects([t.encode() for t in texts]))
+    assert {k for k, t in enumerate(texts) if not units.splits(t)} <= found and units.suspects([b"a b", "à la".encode()]) == []
+
+
+def test_every_code_point_is_of_tiktokens_class():
+    """Letter, number or white space, other: as the pieces that tiktoken makes of each code point show."""
+    ranks = {bytes([b]): b for b in range(256)} | {b"'s": 256} | {b"a" + bytes([b]): b + 257 for b in range(0xC2, 0xF5)}
+    ask = tiktoken.Encoding("probe", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    split, odd = bpe.Encoder(RANKS, P.PATTERN).split, []
+    for k in (*range(128, 0xD800), *range(0xE000, 0x110000)):
+        c = chr(k)
+        pieces = split(f"a{c} {c}'s")
+        if (ask("a" + c)[0] > 256) != (pieces[0] == "a" + c) or (ask(c + "'s")[-1] == 256) != (pieces[-1] == "'s"):
+            odd.append(c)
+    assert odd == []
+
+
 def test_store(spark, docs, odd, tmp_path):
     tok = Tokenizer.from_file(JSON)
     for k, df in enumerate((docs, odd)):
