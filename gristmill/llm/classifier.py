@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import fold, map_rows, texts
+from gristmill.llm.common import fold, map_rows, slices, texts
 from gristmill.session import cut, ready_for_python
 
 FEATURES, RIDGE, FOLDS, BINS, SEED, CUT = 256, 1.0, 4, 2000, 7, 0.7
@@ -191,9 +191,8 @@ def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     at = docs.columns.index(text_col)
 
     def keep(batches):
-        for b in batches:
-            if b.num_rows:
-                rows = [statistics((t or "").encode()) for t in b.column(at).to_pylist()]
-                yield b.filter(pa.array(model.score(np.array(rows)) >= CUT))
+        for b in slices(batches):
+            rows = [statistics((t or "").encode()) for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array(model.score(np.array(rows)) >= CUT))
 
     return docs.mapInArrow(keep, docs.schema)

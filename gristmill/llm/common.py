@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -32,6 +33,23 @@ def fold(key: Column, parts: int, held: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % parts == held, F.lit(False))
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system, as workers live on between tasks beside executors that need it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of so many rows, whose Python objects are few; at the end memory goes back."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, rows):
+            yield whole.slice(at, rows)
+    give_back()
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[list], tuple]], schema: str) -> DataFrame:
     """Rows from rows: make() gives, once a task, a function from a batch's columns (lists) to the result's columns."""
     ready_for_python(df.sparkSession)
@@ -39,10 +57,9 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[list], tuple]], schema:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         act = make()
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                cols = act([c.to_pylist() for c in whole.slice(at, ROWS).columns])
-                yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(cols, kinds, strict=True)], schema=kinds)
+        for b in slices(batches):
+            cols = act([c.to_pylist() for c in b.columns])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(cols, kinds, strict=True)], schema=kinds)
 
     return df.mapInArrow(run, schema)
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm.boosting import Trees, threshold
-from gristmill.llm.common import map_rows, texts
+from gristmill.llm.common import map_rows, slices, texts
 from gristmill.session import ready_for_python
 
 KINDS = ("email", "ip", "card", "phone")
@@ -239,7 +239,7 @@ def without_personal_data(docs: DataFrame, text_col: str = "text", length_col: s
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             new = [t if t is None else redacted(t, all_spans(t, chosen)) for t in b.column(at).to_pylist()]
             yield b.set_column(at, b.schema.field(at), pa.array(new, b.schema.field(at).type))
 

@@ -31,25 +31,32 @@ def _words(df: DataFrame, text: Column) -> DataFrame:
     return df.withColumn("__words", F.when(F.col("__trim") == "", F.array().cast("array<string>")).otherwise(F.split("__trim", r"[ \t-\r]+")))
 
 
-def _grams(words: str, order: int) -> Column:
-    """Hashes of the runs of so many words; none where there are fewer words."""
-    at = lambda i, k: F.get(F.col(words), i + k)
-    runs = F.transform(F.sequence(F.lit(0), F.size(words) - order), lambda i: F.xxhash64(*(at(i, k) for k in range(order))))
-    return F.when(F.size(words) >= order, runs).otherwise(F.array().cast("array<bigint>"))
+def _hash(words: str, i: Column, order: int) -> Column:
+    """Hash of the run of so many words from place i on."""
+    return F.xxhash64(*(F.get(F.col(words), i + k) for k in range(order)))
+
+
+def _bucket(words: str, i: Column, order: int) -> Column:
+    return F.pmod(_hash(words, i, order) + order, F.lit(BUCKETS)).cast("int")
+
+
+def _each(words: str, order: int, act) -> Column:
+    """act of the place (a column) of every run of so many words, as an array; empty where there are fewer words."""
+    # A function of one parameter: transform() gives a second one, even with a default, the place in the array.
+    runs = F.transform(F.sequence(F.lit(0), F.size(words) - order), lambda i: act(words, i, order))
+    return F.when(F.size(words) >= order, runs).otherwise(F.filter(runs, lambda x: F.lit(False)))
 
 
 def _buckets(words: str) -> Column:
     """The hashed n-grams of all orders as buckets."""
-    # Functions of one parameter: transform() gives a second one, even with a default, the place in the array.
-    place = lambda n: lambda h: F.pmod(h + n, F.lit(BUCKETS)).cast("int")
-    return F.concat(*(F.transform(_grams(words, n), place(n)) for n in ORDERS))
+    return F.concat(*(_each(words, n, _bucket) for n in ORDERS))
 
 
 def measured(df: DataFrame, text: Column) -> DataFrame:
     """df with __words and the counts of _COUNTS (long), each under its name with two underscores in front."""
     df = _words(df, text)
     lines = F.filter(F.split(F.coalesce(text.cast("string"), F.lit("")), "\n", -1), lambda x: x.rlike(r"[^ \t-\r]"))
-    df = df.withColumns({"__lines": lines, "__h": _grams("__words", 3)})
+    df = df.withColumns({"__lines": lines, "__h": _each("__words", 3, _hash)})
     twice = F.size("__h") > F.size(F.array_distinct("__h"))
     sorted_runs = F.sort_array(F.transform("__h", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
     df = df.withColumn("__runs", F.when(twice, sorted_runs))
@@ -95,9 +102,13 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
 
 def judged(docs: DataFrame, weights: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with the counts, __llr (null without n-grams), __base_failed and __kept."""
-    df = measured(docs, F.col(text_col)).withColumn("__model", weights.scalar()).withColumn("__b", _buckets("__words"))
-    total = F.aggregate("__b", F.lit(0.0), lambda a, b: a + F.get(F.col("__model"), b).cast("double"))
-    df = df.withColumn("__llr", F.when(F.size("__b") > 0, total / F.size("__b"))).drop("__b", "__model", "__words")
+    df = measured(docs, F.col(text_col)).withColumn("__model", weights.scalar())
+    size = F.size("__words")
+    weight = lambda i, n: F.when(i + n <= size, F.get(F.col("__model"), _bucket("__words", i, n))).otherwise(0.0).cast("double")
+    # One pass over the places of the words, with the n-grams of all orders that begin at each, makes no array of buckets.
+    total = F.aggregate(F.sequence(F.lit(0), size - 1), F.lit(0.0), lambda a, i: a + sum((weight(i, n) for n in ORDERS[1:]), weight(i, ORDERS[0])))
+    grams = sum((F.greatest(F.lit(0), size - n + 1) for n in ORDERS[1:]), F.greatest(F.lit(0), size - ORDERS[0] + 1))
+    df = df.withColumn("__llr", F.when(size > 0, total / grams)).drop("__model", "__words")
     df = df.withColumn("__base_failed", (F.col("__n_words") < MIN_WORDS) | (100 * F.col("__n_repeat_words") > MAX_REPEATED_PERCENT * F.col("__n_words")))
     return df.withColumn("__kept", ~F.col("__base_failed") & F.coalesce(F.col("__llr") >= THRESHOLD, F.lit(True)))
 

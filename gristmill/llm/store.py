@@ -38,14 +38,14 @@ _POWERS = [np.uint64(pow(0x5851F42D4C957F2D, k, 1 << 64)) for k in range(WINDOW)
 class Encoder:
     """Texts to ids with a tokenizer file of the tokenizers library; short units of a text are encoded once."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, counting: bool = False):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tok, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.words.pre_tokenizer = WhitespaceSplit()  # for single pieces, spelled in the vocabulary's letters for bytes
         self.gap = self.words.token_to_id(_byte_letters()[10])
-        self.texts = Units(self._many)
+        self.texts = Units(self._many, counting)
 
     def _many(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each part has."""
@@ -84,19 +84,19 @@ _LETTERS = _byte_letters() | {0: _byte_letters()[10], 10: "\n"}
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, counting: bool = False) -> Encoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Encoder(path)
+    return Encoder(path, counting)
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end: int = 1) -> DataFrame:
     """(doc_id, n_tokens, fold): ids of each row's text and end more; fold is a hash of the text. Null texts are empty."""
 
     def make():
-        enc = encoder(path)
-        return lambda c: (c[0], [len(x) + end for x in enc.texts(c[1])], [zlib.crc32(t.encode()) for t in c[1]])
+        enc = encoder(path, True)
+        return lambda c: (c[0], [n + end for n in enc.texts(c[1])], [zlib.crc32(t.encode()) for t in c[1]])
 
     return map_rows(texts(docs, id_col, text_col, binary=False), make, "doc_id long, n_tokens long, fold long")
 

@@ -19,7 +19,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 #: Places of a worker's table, ids it holds before it is emptied, and bytes of text looked at together.
-PLACES, POOL, AT_ONCE = 1 << 21, 1 << 23, 1 << 20
+PLACES, POOL, AT_ONCE = 1 << 21, 1 << 23, 1 << 18
+#: Units that are encoded in one call, as the libraries make objects of every id.
+RUN = 1 << 13
 #: Bytes of a unit that its key has room for, and bytes of longer units that are kept, in all and each.
 SHORT, LONG, EACH = 15, 1 << 23, 256
 #: White space other than space, tab, line feed and carriage return.
@@ -58,18 +60,21 @@ def suspects(parts: list[bytes]) -> list[int]:
 
 
 class Units:
-    """Ids of texts by way of encode, which gives for a list of strings all their ids in a row, and how many each has."""
+    """Ids of texts by way of encode, which gives for a list of strings all their ids in a row, and how many each has.
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self.encode = encode
+    With counting, only the numbers of ids are kept and given, in a table of a quarter of the places.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], counting: bool = False):
+        self.encode, self.counting, self.places = encode, counting, PLACES // 2 if counting else PLACES
         self._empty()
 
     def _empty(self) -> None:
-        self.table, self.long, self.kept = np.zeros(PLACES, _ENTRY), {}, 0
+        self.table, self.long, self.kept = np.zeros(self.places, _ENTRY), {}, 0
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of each text."""
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray | int]:
+        """The ids of each text, or how many there are."""
         held: list[str] = []
         raws: list[bytes] = []
         size = 0
@@ -84,22 +89,23 @@ class Units:
         if held:
             yield from self._some(held, raws)
 
-    def _some(self, held: list[str], raws: list[bytes]) -> Iterator[np.ndarray]:
+    def _some(self, held: list[str], raws: list[bytes]) -> Iterator[np.ndarray | int]:
         whole = {k for k in suspects(raws) if not splits(held[k])}
         others = iter(self._each([held[k] for k in sorted(whole)]))
         plain = [r for k, r in enumerate(raws) if k not in whole]
         if len(plain) == 1 and len(plain[0]) >= AT_ONCE:
-            found = iter([np.concatenate([self._ids([p], [k == 0])[0] for k, p in enumerate(_windows(plain[0]))])])
+            runs = [self._ids([p], [k == 0])[0] for k, p in enumerate(_windows(plain[0]))]
+            found = iter([sum(runs) if self.counting else np.concatenate(runs)])
         else:
             found = iter(self._ids(plain, [True] * len(plain)) if plain else [])
         for k in range(len(held)):
             yield next(others) if k in whole else next(found)
 
-    def _each(self, texts: list[str]) -> list[np.ndarray]:
+    def _each(self, texts: list[str]) -> list:
         ids, sizes = self.encode(texts)
-        return np.split(ids, np.cumsum(sizes)[:-1]) if texts else []
+        return sizes.tolist() if self.counting else np.split(ids, np.cumsum(sizes)[:-1]) if texts else []
 
-    def _ids(self, parts: list[bytes], fresh: list[bool]) -> list[np.ndarray]:
+    def _ids(self, parts: list[bytes], fresh: list[bool]) -> list:
         """Ids of parts, each less than AT_ONCE bytes together; a part that isn't fresh goes on after a space."""
         if max(map(len, parts)) > AT_ONCE:  # a unit longer than that
             return self._each([("" if f else " ") + p.decode() for p, f in zip(parts, fresh)])
@@ -119,6 +125,8 @@ class Units:
         self._short(raw, starts, n, first, np.flatnonzero(short), units, at, size)
         if not short.all():
             self._long(np.flatnonzero(~short), units, at, size)
+        if self.counting:
+            return np.add.reduceat(size, heads).tolist()
         ends = np.cumsum(size)
         out = self.pool[np.repeat(at - ends + size, size) + np.arange(ends[-1])]
         return np.split(out, (ends[heads] - size[heads])[1:])
@@ -132,7 +140,7 @@ class Units:
         high |= (n + 32 + 16 * first[rows]).astype(np.uint64) << np.uint64(56)
         h = (low ^ (high << np.uint64(29)) ^ (high >> np.uint64(35))) * np.uint64(0x9E3779B97F4A7C15)
         h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        place, other = ((h >> np.uint64(k)).astype(np.int64) & (PLACES - 1) for k in (40, 16))
+        place, other = ((h >> np.uint64(k)).astype(np.int64) & (self.places - 1) for k in (40, 16))
         got = self.table[place]
         new = np.flatnonzero((got["low"] != low) | (got["high"] != high))
         got[new] = self.table[other[new]]
@@ -161,7 +169,10 @@ class Units:
 
     def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Encode units into the pool: where their ids begin there, and how many they are."""
-        ids, sizes = self.encode([w.decode() for w in words])
+        runs = [self.encode([w.decode() for w in words[k : k + RUN]]) for k in range(0, len(words), RUN)]
+        ids, sizes = (np.concatenate(x) for x in zip(*runs))
+        if self.counting:
+            return sizes, sizes
         ats = self.used + np.cumsum(sizes) - sizes
         if self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(max(len(ids), len(self.pool)), np.uint32)])
