@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute
+import brute_lm
 
 from gristmill.llm import ann, bpe, classifier, lm, packing, pii, queries, rules, simhash, store, toxicity, units
 
@@ -404,13 +405,22 @@ def test_language_model(spark, docs, odd):
     assert lm.scores(odd.limit(0)).count() == 0
 
 
+def test_language_model_score_is_the_plain_models(spark, docs, odd):
+    """The score against one decision after another in plain Python, with counts in dictionaries."""
+    for df, head in ((docs.filter("doc_id < 40"), lm.HEAD), (docs.filter("doc_id < 25"), 60), (odd, lm.HEAD)):
+        data = [(r["doc_id"], (r["text"] or "").encode()) for r in df.collect()]
+        want = brute_lm.scores(data, head)
+        got = sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in rows(lm.scores(df, head=head)))
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert [g[2] for g in got] == pytest.approx([w[2] for w in want], rel=2e-4, abs=1e-3)
+
+
 def test_language_model_sums_to_one():
     """Over all one-word texts of a closed code the probabilities of class paths and shares sum to one."""
     v = lm.Vocabulary([b"a", b"b", b"c"], np.array([5, 3, 2]), 14, 4, 4).ready()
-    counts = np.zeros((2, lm.WORDS.size + lm.BYTES.size), np.uint32)
-    m = lm.Mixer(lm.WORDS, counts[:, : lm.WORDS.size])
-    symbols = np.arange(256)
-    zero = np.zeros(256, np.int64)
+    rng = np.random.default_rng(2)
+    m = lm.Mixer(lm.WORDS, rng.integers(0, 9, lm.WORDS.size))
+    symbols, zero = np.arange(256), np.zeros(256, np.int64)
     each = m.log_prob(symbols, [zero] * 3, symbols, zero, 256)
     assert np.exp(each).sum() == pytest.approx(1, abs=1e-3)
     for k in set(v.classes.tolist()):
@@ -419,17 +429,50 @@ def test_language_model_sums_to_one():
 
 def test_language_model_adapts_within_short_texts():
     """The same word 64 times: the weights move, so later ones are likelier than at the start weights."""
-    counts = np.zeros((2, lm.WORDS.size), np.uint32)
-    counts[1] = 3
+    counts = np.ones(lm.WORDS.size, np.uint32)
+    counts[255::256] = 300
     zero, n = np.zeros(64, np.int64), 64
     m = lm.Mixer(lm.WORDS, counts)
     symbols = np.full(n, 255)
-    moved = m.log_prob(symbols, [zero] * 3, zero, np.arange(n), 1)[0]
+    moved = m.log_prob(symbols, [zero] * 3, zero, np.arange(n), 1).sum()
     fixed = m.log_prob(symbols, [zero] * 3, np.arange(n), zero, n).sum()
     assert moved > fixed + 1e-3
     assert lm.WORDS.blocks(np.array([0, 15, 16, 32, 64, 127, 128, 255, 256])).tolist() == [0, 0, 1, 2, 3, 3, 4, 4, 5]
 
 
+def test_counts_of_decisions_follow_from_those_of_symbols():
+    symbols = np.random.default_rng(3).integers(0, 5, 512)
+    zero, one = lm.decided(symbols)
+    for room in (0, 1):
+        for node in (1, 2, 3, 77, 255):
+            level = node.bit_length() - 1
+            below = [[symbols[room * 256 + x] for x in range(256) if 1 << level | x >> (8 - level) == node and x >> (7 - level) & 1 == bit] for bit in (0, 1)]
+            assert (zero[room * 256 + node], one[room * 256 + node]) == (sum(below[0]), sum(below[1]))
+
+
+def test_words_of_the_language_model():
+    rng = random.Random(3)
+    some = ["".join(rng.choice("aB \n\t\v\f\ré\xa0\x1cxyz") for _ in range(rng.randint(0, 90))).encode() for _ in range(200)] + [b"", b"z" * 40, b" "]
+    words = lm.Words(some)
+    plain = [brute.words(brute.ascii_lower(t.decode())) for t in some]
+    assert [w.decode() for w in words.bytes(np.arange(len(words.starts)))] == [w for ws in plain for w in ws] and words.tokens.tolist() == [len(w) + 1 for w in plain]
+    head = sorted({w.encode() for ws in plain for w in ws})[::2]
+    v = lm.Vocabulary(head, np.arange(len(head)) + 2, 10_000, 500, 9).ready()
+    place = {w: k for k, w in enumerate(head)}
+    assert v.find(words).tolist() == [place.get(w.encode(), len(head) + 1) for ws in plain for w in ws]
+
+
+def test_a_repeated_document_is_likely(spark):
+    """A held-out copy of a training document costs a fraction of the bits of a text that occurs once."""
+    rng = random.Random(5)
+    text = lambda: " ".join("".join(rng.choice(("ka", "lo", "mi", "tu", "re")) for _ in range(rng.randint(1, 5))) for _ in range(400))
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1]
+    data = [(i, text()) for i in range(60)]
+    data[held[0]] = (held[0], data[next(i for i in range(60) if i not in held)][1])
+    bits = {r["doc_id"]: r["bits_per_byte"] for r in rows(lm.scores(spark.createDataFrame(data, "doc_id long, text string")))}
+    assert bits[held[0]] < 0.3 * min(bits[i] for i in held[1:])
+
+
 def test_pipeline(spark):
     import corpus_pipeline as c
 
