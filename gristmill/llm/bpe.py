@@ -170,18 +170,17 @@ _NOTHING = "\uffff"
 
 
 @lru_cache(maxsize=1)
-def strangers() -> regex.Pattern | None:
-    """What matches code points that are letters or numbers to regex, but not yet to the engine that tiktoken splits with.
+def strangers() -> frozenset[str]:
+    """Code points that are letters or numbers to regex, but not yet to the engine that tiktoken splits with.
 
     The two know different versions of Unicode. Candidates are those that Python's own tables, older than both, have not
-    assigned; each is put to tiktoken with a vocabulary that shows the pieces: 'a and the first byte of a letter merge, and
+    assigned; each is put to tiktoken with a vocabulary that shows the pieces: an a and the first byte of a letter merge, and
     so does an apostrophe with an s unless it ends a piece of signs.
     """
     blank = "".join(c for c in map(chr, (*range(0xD800), *range(0xE000, 0x110000))) if unicodedata.category(c) == "Cn")
     vocabulary = {bytes([b]): b for b in range(256)} | {b"'s": 256} | {b"a" + bytes([b]): b + 257 for b in range(0xC2, 0xF5)}
     ask = tiktoken.Encoding("probe", pat_str=r"'s| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+", mergeable_ranks=vocabulary, special_tokens={}).encode_ordinary
-    new = [c for c in regex.findall(r"[\p{L}\p{N}]", blank) if ask("a" + c)[0] < 256 and ask(c + "'s")[-1] != 256]
-    return regex.compile(f"[{''.join(map(regex.escape, new))}]") if new else None
+    return frozenset(c for c in regex.findall(r"[\p{L}\p{N}]", blank) if ask("a" + c)[0] < 256 and ask(c + "'s")[-1] != 256)
 
 
 class Encoder:
@@ -189,23 +188,22 @@ class Encoder:
 
     def __init__(self, path: str, pattern: str):
         self.bpe, self.pattern = load(path), regex.compile(pattern)
-        self.texts = Units(self._many)
+        self.texts = Units(self._many, self._pieces)
 
     def split(self, text: str) -> list[str]:
         """The matches of the pattern, with the letters and numbers that tiktoken knows."""
-        if text.isascii() or not (new := strangers()) or not new.search(text):
+        if text.isascii() or (new := strangers()).isdisjoint(text):
             return self.pattern.findall(text)
-        return [text[m.start() : m.end()] for m in self.pattern.finditer(new.sub(_NOTHING, text))]
-
-    def _many(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids: list[int] = []
-        sizes = []
-        for text in parts:
-            before = len(ids)
-            for p in self.split(text):
-                ids += self.bpe.piece(p.encode())
-            sizes.append(len(ids) - before)
-        return np.array(ids, np.uint32), np.array(sizes, np.int64)
+        return [text[m.start() : m.end()] for m in self.pattern.finditer("".join(_NOTHING if c in new else c for c in text))]
+
+    def _pieces(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        cut = [self.split(t) for t in texts]
+        return [p for c in cut for p in c], np.array([len(c) for c in cut], np.int64)
+
+    def _many(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and how many each piece has."""
+        ids = [self.bpe.piece(p.encode()) for p in pieces]
+        return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
 
 
 @lru_cache(maxsize=2)

@@ -45,22 +45,42 @@ class Encoder:
         self.tok, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.words.pre_tokenizer = WhitespaceSplit()  # for single pieces, spelled in the vocabulary's letters for bytes
         self.gap = self.words.token_to_id(_byte_letters()[10])
-        self.texts = Units(self._many, counting)
-
-    def _many(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and how many each part has."""
-        bare = [p.rstrip(_STOPS) for p in parts]
-        plain = np.array([p[:1] == " " and p[1:].isalpha() for p in bare], bool)
-        one, one_sizes = self._lettered([p if len(p) == len(q) else f"{p}\n{q[len(p) :]}" for p, q, x in zip(bare, parts, plain.tolist()) if x])
-        two = [e.ids for e in self.tok.encode_batch_fast([p for p, x in zip(parts, plain.tolist()) if not x], add_special_tokens=False)]
-        sizes = np.zeros(len(parts), np.int64)
+        self.texts = Units(self._many, self._pieces, counting)
+
+    def _pieces(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """Lines of letters, with a space before and signs after or without, are cut into these and line ends; others aren't."""
+        out: list[str] = []
+        counts = np.zeros(len(texts), np.int64)
+        for k, t in enumerate(texts):
+            before = len(out)
+            for line in t.split("\n"):
+                word = line.rstrip(_STOPS)
+                if not (word[1:] if word[:1] == " " else word).isalpha():
+                    del out[before:]
+                    out.append(t)
+                    break
+                out.append(word)
+                if len(word) < len(line):
+                    out.append(line[len(word) :])
+                out.append("\n")
+            else:
+                out.pop()
+            counts[k] = len(out) - before
+        return out, counts
+
+    def _many(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and how many each piece has."""
+        plain = np.array([(p[1:] if p[:1] == " " else p).isalpha() for p in pieces], bool)
+        one, one_sizes = self._lettered([p for p, x in zip(pieces, plain.tolist()) if x])
+        two = [e.ids for e in self.tok.encode_batch_fast([p for p, x in zip(pieces, plain.tolist()) if not x], add_special_tokens=False)]
+        sizes = np.zeros(len(pieces), np.int64)
         sizes[plain], sizes[~plain] = one_sizes, [len(x) for x in two]
         ids, which = np.zeros(int(sizes.sum()), np.uint32), np.repeat(plain, sizes)
         ids[which], ids[~which] = one, [i for x in two for i in x]
         return ids, sizes
 
     def _lettered(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Parts of a space and letters, and perhaps signs after them in a line of their own: pieces of the pattern already."""
+        """Letters, perhaps with a space before them: pieces of the pattern already."""
         if not parts:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         spelled = "\n\0\n".join(parts).encode().decode("latin-1").translate(_LETTERS)
@@ -136,7 +156,7 @@ def _split(raw: bytes, size: int = KEY) -> list[bytes]:
 
 
 def write(docs: DataFrame, path: str, folder: str, width: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode all rows into a store at folder and give its manifest.
+    """Encode all rows into a store at folder and give its manifest. Ids of more than width bytes end it with an error.
 
     Null texts are empty (the end id alone). Null ids come first; rows that repeat an id stand in the order of their keys.
     An empty table gives a store without documents. Extra columns are ignored.
@@ -150,6 +170,8 @@ def write(docs: DataFrame, path: str, folder: str, width: int = 2, id_col: str =
         def act(c: list) -> tuple:
             rows = []
             for doc, ids in zip(c[0], enc.texts(c[1])):
+                if len(ids) and int(ids.max()) >> 8 * width:
+                    raise ValueError(f"ids need more than {width} bytes")
                 ids, at, keys = np.append(ids, END).astype(kind), 0, []
                 for e in boundaries(ids):
                     data = ids[at:e].tobytes()
@@ -304,12 +326,18 @@ def crc_join(a: int, b: int, length: int) -> int:
     return _times(_shift(length), a) ^ b
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared store."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stored(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """digests() of a store of docs that is written to the shared folder, read back and removed."""
     spark = docs.sparkSession
     folder = f"{shared_dir(spark).rstrip('/')}/gristmill-store-{uuid.uuid4().hex}"
-    write(docs, path, folder, id_col=id_col, text_col=text_col)
-    out = cut(digests(spark, folder))
-    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    return out
+    try:
+        write(docs, path, folder, id_col=id_col, text_col=text_col)
+        return cut(digests(spark, folder))
+    finally:
+        remove(spark, folder)

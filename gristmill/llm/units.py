@@ -5,6 +5,9 @@ space begins the next match. So such a text's ids are those of its space-separat
 space in front, and a unit has to be encoded once only. A text with a space beside other white space, or in front or at
 the end, is encoded whole.
 
+An unknown unit is put together from its pieces (a word, the signs after it), which are looked up in the same way, so that
+only new pieces have to be encoded.
+
 Units are found and looked up for many texts at once. A unit of up to SHORT bytes is its own key: its bytes, its length and
 whether it begins a text fill two 64-bit numbers, so equal keys are equal units, and a table with two places for each key
 has their ids. Where both places are taken, the later unit has the second, so the table's size bounds memory and not what
@@ -60,13 +63,14 @@ def suspects(parts: list[bytes]) -> list[int]:
 
 
 class Units:
-    """Ids of texts by way of encode, which gives for a list of strings all their ids in a row, and how many each has.
+    """Ids of texts from those of their pieces: pieces cuts strings into all their pieces in a row, and how many each has;
+    encode gives for pieces all their ids in a row, and how many each has.
 
-    With counting, only the numbers of ids are kept and given, in a table of a quarter of the places.
+    With counting, only the numbers of ids are kept and given, in a table of half the places.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], counting: bool = False):
-        self.encode, self.counting, self.places = encode, counting, PLACES // 2 if counting else PLACES
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], pieces: Callable[[list[str]], tuple[list[str], np.ndarray]], counting: bool = False):
+        self.encode, self.pieces, self.counting, self.places = encode, pieces, counting, PLACES // 2 if counting else PLACES
         self._empty()
 
     def _empty(self) -> None:
@@ -102,8 +106,12 @@ class Units:
             yield next(others) if k in whole else next(found)
 
     def _each(self, texts: list[str]) -> list:
-        ids, sizes = self.encode(texts)
-        return sizes.tolist() if self.counting else np.split(ids, np.cumsum(sizes)[:-1]) if texts else []
+        if not texts:
+            return []
+        at, size, heads = self._pieces_of(texts)
+        if self.counting:
+            return np.add.reduceat(size, heads).tolist()
+        return np.split(self._gathered(at, size), (np.cumsum(size)[heads] - size[heads])[1:])
 
     def _ids(self, parts: list[bytes], fresh: list[bool]) -> list:
         """Ids of parts, each less than AT_ONCE bytes together; a part that isn't fresh goes on after a space."""
@@ -118,26 +126,40 @@ class Units:
         first[heads[np.array(fresh)]] = True
         if self.used > POOL or self.kept > LONG:
             self._empty()
-        units = lambda some: [raw[a:e] for a, e in zip((starts - 1 + first)[some].tolist(), ends[some].tolist())]
-        n = ends - starts
-        at, size = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
-        short = n <= SHORT
-        self._short(raw, starts, n, first, np.flatnonzero(short), units, at, size)
-        if not short.all():
-            self._long(np.flatnonzero(~short), units, at, size)
+        at, size = self._found(raw, starts, ends - starts, first, self._joined)
         if self.counting:
             return np.add.reduceat(size, heads).tolist()
+        return np.split(self._gathered(at, size), (np.cumsum(size)[heads] - size[heads])[1:])
+
+    def _gathered(self, at: np.ndarray, size: np.ndarray) -> np.ndarray:
         ends = np.cumsum(size)
-        out = self.pool[np.repeat(at - ends + size, size) + np.arange(ends[-1])]
-        return np.split(out, (ends[heads] - size[heads])[1:])
+        return self.pool[np.repeat(at - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
 
-    def _short(self, raw: bytes, starts: np.ndarray, n: np.ndarray, first: np.ndarray, rows: np.ndarray, units: Callable, at: np.ndarray, size: np.ndarray) -> None:
-        """Fill in where the ids of the short units (rows) are, and how many."""
-        starts, n = starts[rows], n[rows]
+    def _found(self, raw: bytes, starts: np.ndarray, n: np.ndarray, first: np.ndarray, make: Callable) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of units are in the pool, and how many. A unit is n bytes of raw, and a space before them unless it
+        is first. Those that aren't known are made: make gives where and how many of strings, and which of them to remember."""
+        at, size = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
+        units = lambda some: [raw[a:e] for a, e in zip((starts - 1 + first)[some].tolist(), (starts + n)[some].tolist())]
+        long = np.flatnonzero(n > SHORT)
+        rows = np.flatnonzero(n <= SHORT) if len(long) else np.arange(len(n))
+        self._short(raw, starts[rows], n[rows], first[rows], rows, units, make, at, size)
+        if len(long):
+            found = units(long)
+            words = [w for w in dict.fromkeys(found) if w not in self.long]
+            fresh = dict(zip(words, zip(*(x.tolist() for x in make([w.decode() for w in words]))))) if words else {}
+            at[long], size[long] = np.array([(fresh.get(w) or self.long[w])[:2] for w in found]).T
+            for w, p in fresh.items():
+                if p[2] and len(w) <= EACH:
+                    self.long[w] = p
+                    self.kept += len(w)
+        return at, size
+
+    def _short(self, raw: bytes, starts: np.ndarray, n: np.ndarray, first: np.ndarray, rows: np.ndarray, units: Callable, make: Callable, at: np.ndarray, size: np.ndarray) -> None:
+        """Fill in the short units, which are at these rows."""
         eight = np.ndarray(len(raw) + 9, "<u8", raw + bytes(16), strides=(1,))  # the eight bytes from each place on
         low = eight[starts] & _FIRST_BYTES[np.minimum(n, 8)]
         high = eight[np.minimum(starts + 8, len(raw))] & _FIRST_BYTES[np.maximum(n - 8, 0)]
-        high |= (n + 32 + 16 * first[rows]).astype(np.uint64) << np.uint64(56)
+        high |= (n + 32 + 16 * first).astype(np.uint64) << np.uint64(56)
         h = (low ^ (high << np.uint64(29)) ^ (high >> np.uint64(35))) * np.uint64(0x9E3779B97F4A7C15)
         h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
         place, other = ((h >> np.uint64(k)).astype(np.int64) & (self.places - 1) for k in (40, 16))
@@ -150,35 +172,52 @@ class Units:
             return
         words: dict[bytes, int] = {}
         which = np.array([words.setdefault(w, len(words)) for w in units(rows[new])])
-        ats, sizes = self._encoded(list(words))
+        ats, sizes, keep = make([w.decode() for w in words])
         at[rows[new]], size[rows[new]] = ats[which], sizes[which]
+        new, which = new[keep[which]], which[keep[which]]
         entry = np.zeros(len(new), _ENTRY)
         entry["low"], entry["high"], entry["at"], entry["size"] = low[new], high[new], ats[which], sizes[which]
         self.table[np.where(self.table["high"][place[new]] == 0, place[new], other[new])] = entry
 
-    def _long(self, rows: np.ndarray, units: Callable, at: np.ndarray, size: np.ndarray) -> None:
-        """The same for the longer units."""
-        found = units(rows)
-        words = [w for w in dict.fromkeys(found) if w not in self.long]
-        fresh = dict(zip(words, zip(*(x.tolist() for x in self._encoded(words))))) if words else {}
-        at[rows], size[rows] = np.array([fresh.get(w) or self.long[w] for w in found]).T
-        for w, p in fresh.items():
-            if len(w) <= EACH:
-                self.long[w] = p
-                self.kept += len(w)
-
-    def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Encode units into the pool: where their ids begin there, and how many they are."""
-        runs = [self.encode([w.decode() for w in words[k : k + RUN]]) for k in range(0, len(words), RUN)]
-        ids, sizes = (np.concatenate(x) for x in zip(*runs))
+    def _put(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Put ids into the pool: where those of each unit are."""
         if self.counting:
-            return sizes, sizes
-        ats = self.used + np.cumsum(sizes) - sizes
+            return sizes
         if self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(max(len(ids), len(self.pool)), np.uint32)])
         self.pool[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
-        return ats, sizes
+        return self.used - len(ids) + np.cumsum(sizes) - sizes
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Encode pieces, so many at a time, and remember them."""
+        ids, sizes = (np.concatenate(x) for x in zip(*(self.encode(pieces[k : k + RUN]) for k in range(0, len(pieces), RUN))))
+        return self._put(ids, sizes), sizes, np.ones(len(pieces), bool)
+
+    def _joined(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Put units together from their pieces, and remember those that aren't a piece."""
+        at, size, heads = self._pieces_of(units)
+        several = np.diff(np.append(heads, len(size))) > 1
+        ats, sizes = at[heads], np.add.reduceat(size, heads)
+        rows = np.flatnonzero(np.repeat(several, np.diff(np.append(heads, len(size)))))
+        ats[several] = self._put(size[:0] if self.counting else self._gathered(at[rows], size[rows]), sizes[several])
+        return ats, sizes, several
+
+    def _pieces_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of all pieces of strings are, how many, and which piece is each string's first. An empty string has
+        an empty piece."""
+        pieces, counts = self.pieces(texts)
+        if not counts.all():
+            rest = iter(pieces)
+            pieces = [p for n in counts.tolist() for p in ([next(rest) for _ in range(n)] or [""])]
+            counts = np.maximum(counts, 1)
+        distinct: dict[str, int] = {}
+        which = np.array([distinct.setdefault(p, len(distinct)) for p in pieces], np.int64)
+        some = [p.encode() for p in distinct]
+        first = np.array([p[:1] != b" " for p in some], bool)
+        n = np.array([len(p) for p in some], np.int64)
+        at, size = self._found(b"".join(some), np.cumsum(n) - n + ~first, n - ~first, first, self._encoded)
+        return at[which], size[which], np.cumsum(counts) - counts
 
 
 def _windows(raw: bytes) -> list[bytes]:
