@@ -18,6 +18,7 @@ from __future__ import annotations
 import string
 import uuid
 import zlib
+from bisect import bisect_left
 from functools import lru_cache
 from hashlib import blake2b
 
@@ -121,24 +122,26 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     return map_rows(texts(docs, id_col, text_col, binary=False), make, "doc_id long, n_tokens long, fold long")
 
 
-def boundaries(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks of an id stream, by the rolling hash of the last WINDOW ids; LEAST to MOST ids each but the last."""
-    n = len(ids)
-    if n <= LEAST:
-        return [n]
+def boundaries(ids: np.ndarray, sizes: list[int]) -> list[list[int]]:
+    """Ends of the chunks of id streams of these sizes, which stand in a row, by the rolling hash of the last WINDOW ids;
+    LEAST to MOST ids each but the last. A stream's windows never matter before its place LEAST, so none reach into another."""
     x = (ids.astype(np.uint64) + np.uint64(1)) * _MIX
     x ^= x >> np.uint64(29)
-    h = np.zeros(n, np.uint64)
+    h = np.zeros(len(ids), np.uint64)
     for k, p in enumerate(_POWERS):
-        h[WINDOW - 1 :] += x[WINDOW - 1 - k : n - k] * p
-    marks = np.flatnonzero((h >> np.uint64(40)) & np.uint64(MASK) == 0) + 1
-    out, at = [], 0
-    while n - at > LEAST:
-        k = int(np.searchsorted(marks, at + LEAST))
-        at = min(int(marks[k]) if k < len(marks) else n, at + MOST, n)
-        out.append(at)
-    if at < n:
-        out.append(n)
+        h[WINDOW - 1 :] += x[WINDOW - 1 - k : len(ids) - k] * p
+    marks = (np.flatnonzero((h >> np.uint64(40)) & np.uint64(MASK) == 0) + 1).tolist()
+    out, start, k = [], 0, 0
+    for n in sizes:
+        ends, at = [], 0
+        while n - at > LEAST:
+            k = bisect_left(marks, start + at + LEAST, k)
+            at = min(marks[k] - start if k < len(marks) else n, at + MOST, n)
+            ends.append(at)
+        if at < n:
+            ends.append(n)
+        out.append(ends)
+        start += n
     return out
 
 
@@ -167,20 +170,27 @@ def write(docs: DataFrame, path: str, folder: str, width: int = 2, id_col: str =
     def cutter():
         enc, kind, seen = encoder(path), f"<u{width}", set()
 
+        end = np.array([END], np.uint32)
+
         def act(c: list) -> tuple:
             rows = []
-            for doc, ids in zip(c[0], enc.texts(c[1])):
-                if len(ids) and int(ids.max()) >> 8 * width:
-                    raise ValueError(f"ids need more than {width} bytes")
-                ids, at, keys = np.append(ids, END).astype(kind), 0, []
-                for e in boundaries(ids):
-                    data = ids[at:e].tobytes()
+            lists = list(enc.texts(c[1]))
+            sizes = [len(x) + 1 for x in lists]
+            ids, start = np.concatenate([part for x in lists for part in (x, end)]), 0
+            if int(ids.max()) >> 8 * width:
+                raise ValueError(f"ids need more than {width} bytes")
+            raw = ids.astype(kind).tobytes()
+            for doc, n, ends in zip(c[0], sizes, boundaries(ids, sizes)):
+                at, keys = 0, []
+                for e in ends:
+                    data = raw[(start + at) * width : (start + e) * width]
                     keys.append(blake2b(data, digest_size=KEY).digest())
                     if keys[-1] not in seen:
                         seen.add(keys[-1])
-                        rows.append((keys[-1], None, len(data) // width, data, None))
+                        rows.append((keys[-1], None, e - at, data, None))
                     at = e
-                rows.append((None, doc, len(ids), None, b"".join(keys)))
+                rows.append((None, doc, n, None, b"".join(keys)))
+                start += n
             return tuple(map(list, zip(*rows)))
 
         return act
