@@ -2,9 +2,11 @@
 
 A vector's two halves are quantised separately, by k-means centroids fitted on a bounded sample; its cell is the pair of
 centroids. A query visits cells in order of the summed squared distances of its halves to the centroids, with a heap, and
-stops once the cells visited hold SHARE of all entries, and ENOUGH at least. All entries of those cells are ranked again by
-their distance in double precision on the original vectors. SHARE suits vectors without structure, whose neighbours no
-partition of the space keeps together; for clustered ones a far smaller share gives the same recall.
+stops once the cells visited hold a share of all entries, and ENOUGH at least. All entries of those cells are ranked again by
+their distance in double precision on the original vectors. The share is measured: ASKED vectors of the sample are searched
+in it by brute force, and it is what has to be visited until TARGET of their neighbours are met. Vectors without structure,
+whose neighbours no partition of the space keeps together, need a large share, clustered ones a small one. Neighbours in a
+sample are farther than those in the table, so the share is rather too large.
 
 Entries are grouped by their first centroid; a group of more than GROUP entries is dealt over several by salts. Every group
 gives its own best k of each query that visits it, and only those are shuffled.
@@ -23,7 +25,9 @@ from pyspark.sql.window import Window
 from gristmill.session import cut, ready_for_python
 
 #: Vectors that the centroids are fitted on (by hash of the id), rounds, what a query sees at least, entries a group has at most.
-SAMPLE, ROUNDS, SHARE, ENOUGH, GROUP, SEED = 20_000, 12, 0.35, 6_000, 20_000, 5
+SAMPLE, ROUNDS, ENOUGH, GROUP, SEED = 20_000, 12, 500, 20_000, 5
+#: Vectors of the sample that measure the share, the neighbours that they should meet, and the smallest share.
+ASKED, TARGET, LEAST = 200, 0.94, 0.02
 
 
 def centroids_for(n: int) -> int:
@@ -83,18 +87,33 @@ class Index:
         return out
 
 
-def fit(vectors: DataFrame, sample: int = SAMPLE) -> Index | None:
-    """Centroids from at most sample rows of (id, v); None without rows."""
+    def share(self, x: np.ndarray, k: int) -> float:
+        """The share of x that has to be visited until ASKED of them have met TARGET of their k nearest others."""
+        first, second = self.cells(x)
+        need = []
+        for i, (a, b) in enumerate(zip(*self.distances(x[:ASKED]))):
+            far = ((x - x[i]) ** 2).sum(1)
+            far[i] = np.inf
+            near = np.argsort(far, kind="stable")[: min(k, len(x) - 1)]
+            cell = a[first] + b[second]
+            need.append(np.searchsorted(np.sort(cell), cell[near], "right") / len(x))
+        need = np.concatenate(need)
+        return max(LEAST, float(np.quantile(need, TARGET))) if len(need) else 1.0
+
+
+def fit(vectors: DataFrame, sample: int = SAMPLE, k: int = 10) -> tuple[Index, float] | None:
+    """Centroids and the share to visit from at most sample rows of (id, v); None without rows."""
     n = vectors.count()
     rows = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toPandas().v
     if not n:
         return None
     x = np.vstack(rows.to_list())
     half = (x.shape[1] + 1) // 2
-    return Index(kmeans(x[:, :half], centroids_for(n)), kmeans(x[:, half:], centroids_for(n)) if x.shape[1] > 1 else np.zeros((1, 0)))
+    index = Index(kmeans(x[:, :half], centroids_for(n)), kmeans(x[:, half:], centroids_for(n)) if x.shape[1] > 1 else np.zeros((1, 0)))
+    return index, index.share(x, k)
 
 
-def nearest(vectors: DataFrame, every: int = 100, k: int = 10, share: float = SHARE, enough: int = ENOUGH, group: int = GROUP, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 100, k: int = 10, share: float | None = None, enough: int = ENOUGH, group: int = GROUP, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): of each row whose id is divisible by every, its k nearest others by Euclidean distance.
 
     Ties go to the smaller id; with fewer than k other rows there are fewer results. Rows with a null id, or a vector that
@@ -109,7 +128,8 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, share: float = SH
     if widths is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     own = own.filter(F.size("v") == widths["w"])
-    index = fit(own)
+    index, measured = fit(own, k=k)
+    share = measured if share is None else share
 
     def celled(batches):
         for pdf in batches:
@@ -141,7 +161,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, share: float = SH
             yield pd.DataFrame(rows, columns=["id", "v", "first", "salt", "seconds"])
 
     queries = own.filter(F.pmod("id", F.lit(every)) == 0).groupBy("id").agg(F.min("v").alias("v"))
-    asked = queries.mapInPandas(probes, "id long, v array<double>, first int, salt long, seconds array<int>")
+    asked = queries.repartition(2 * spark.sparkContext.defaultParallelism, "id").mapInPandas(probes, "id long, v array<double>, first int, salt long, seconds array<int>")
 
     def ranked(q: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
         out = []

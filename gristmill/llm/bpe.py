@@ -212,7 +212,8 @@ def _encoder(path: str, pattern: str) -> Encoder:
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>) of every row."""
+    """(doc_id, ids array<int>) of every row. Null and empty texts have no ids; null ids and repeated rows keep their rows; an
+    empty table gives no rows; extra columns are ignored."""
 
     def make():
         enc = _encoder(path, pattern)

@@ -144,14 +144,16 @@ def _equations(labelled: DataFrame, model: Model) -> np.ndarray:
             for f in np.unique(k):
                 m = k == f
                 sums[f] += z[m].T @ np.hstack([z[m], y[m, None]])
-        task, rows = TaskContext.get().partitionId(), FOLDS * (FEATURES + 1)
+        task, rows = TaskContext.get().partitionId() % 32, FOLDS * (FEATURES + 1)
         yield pa.RecordBatch.from_arrays([pa.array([task] * rows), pa.array(range(rows)), pa.array(list(sums.reshape(rows, -1)), pa.list_(pa.float64()))], ["task", "row", "sums"])
 
     def total(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("task").sums
-        return pd.DataFrame({"row": [pdf.row.iloc[0]], "sums": [np.sum(np.vstack(rows.to_list()), axis=0)]})
+        rows = pdf.assign(order=[x.tobytes() for x in pdf.sums]).sort_values(["task", "order"]).sums  # so that sums don't depend on arrival
+        return pd.DataFrame({"task": [pdf.task.iloc[0]], "row": [pdf.row.iloc[0]], "sums": [np.sum(np.vstack(rows.to_list()), axis=0)]})
 
-    out = _folds(labelled).mapInArrow(parts, "task long, row long, sums array<double>").groupBy("row").applyInPandas(total, "row long, sums array<double>")
+    shape = "task long, row long, sums array<double>"
+    some = _folds(labelled).mapInArrow(parts, shape).groupBy("task", "row").applyInPandas(total, shape)  # in two rounds, so groups stay small
+    out = some.groupBy("row").applyInPandas(total, shape)
     got = {r["row"]: r["sums"] for r in out.toLocalIterator()}
     return np.array([got[i] for i in range(FOLDS * (FEATURES + 1))]).reshape(FOLDS, FEATURES + 1, FEATURES + 2)
 
@@ -183,7 +185,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that the classifier accepts, with their own columns. Without usable labels all rows stay."""
+    """The rows of docs that the classifier accepts, with their own columns.
+
+    Without usable labels all rows stay. Null and empty texts are scored as texts without words; null ids have no label;
+    repeated rows are judged alike; an empty table gives no rows; no column can clash, as none is added.
+    """
     model = fit(cut(training(cut(stats_table(docs, id_col, text_col)), labels)))
     if not len(model.knots):
         return docs

@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left, bisect_right
 from functools import cache
 
 import numpy as np
@@ -186,16 +187,38 @@ def selector() -> tuple[Trees, float]:
 def all_spans(text: str, chosen: tuple[Trees, float], base: list[tuple[int, str, int]] | None = None) -> list[tuple[int, str, int]]:
     """The base spans and the selected further ones, which overlap neither those nor each other; in order."""
     base = base_spans(text) if base is None else base
-    free = [c for c in candidates(text) if not any(c[0] < b and a < c[2] for a, _, b in base)]
+    taken = Covered()
+    for a, _, b in base:
+        taken.add(a, b)
+    free = [c for c in candidates(text) if not taken.meets(c[0], c[2])]
     if not free:
         return base
     trees, least = chosen
     scores = trees.score(np.array([describe(text, c) for c in free]))
-    taken: list[tuple[int, str, int]] = []
+    more: list[tuple[int, str, int]] = []
     for s, c in sorted(zip(scores, free), key=lambda p: (-p[0], _order(p[1]))):
-        if s >= least and not any(c[0] < b and a < c[2] for a, _, b in taken):
-            taken.append(c)
-    return sorted([*base, *taken], key=_order)
+        if s >= least and not taken.meets(c[0], c[2]):
+            taken.add(c[0], c[2])
+            more.append(c)
+    return sorted([*base, *more], key=_order)
+
+
+class Covered:
+    """Places that spans cover, as runs apart from each other; looking up a span takes the logarithm of their number."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def meets(self, a: int, b: int) -> bool:
+        k = bisect_left(self.starts, b) - 1
+        return k >= 0 and self.ends[k] > a
+
+    def add(self, a: int, b: int) -> None:
+        i, j = bisect_right(self.ends, a), bisect_left(self.starts, b)
+        if i < j:
+            a, b = min(a, self.starts[i]), max(b, self.ends[j - 1])
+        self.starts[i:j], self.ends[i:j] = [a], [b]
 
 
 def listed(spans: list[tuple[int, str, int]]) -> str:
@@ -217,7 +240,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every row; counts and digest of the base spans.
 
     Null and empty texts have no spans. Null ids and repeated rows keep their rows; an empty table gives no rows; extra
-    columns are ignored. Offsets count code points; time is linear in the text.
+    columns are ignored. Offsets count code points; time is linear in the text, but for sorting its spans.
     """
     chosen = selector()
 
@@ -233,7 +256,11 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def without_personal_data(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
-    """docs with all spans redacted in the text and, if there is such a column, its length set anew. Null texts stay null."""
+    """docs with all spans redacted in the text and, if there is such a column, its length set anew.
+
+    Null texts stay null with their length, empty ones empty; ids don't matter; repeated rows are repeated; an empty table
+    gives no rows; other columns, whatever their names, stay as they are.
+    """
     chosen = selector()
     ready_for_python(docs.sparkSession)
     at = docs.columns.index(text_col)

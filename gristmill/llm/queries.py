@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +50,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # a script beside the package; only this query needs it
+
     return corpus_pipeline.run(spark, sf_dir)
 
 

@@ -128,7 +128,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def passing(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that the rules keep, with their own columns."""
+    """The rows of docs that the rules keep, with their own columns.
+
+    Null and empty texts fail the base rules and go. Null ids stay and count as raw text, repeated rows are judged alike, an
+    empty table gives no rows. The row is kept as one value beside the text, so no column of it can clash.
+    """
     own = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text_col).alias("__text"))
     df = judged(own, fit(docs, trusted_ids(labels), id_col, text_col), "__text").select("__row", "__kept", F.rand(0).alias("__gate"))
     return df.filter(F.col("__kept") & (F.col("__gate") >= 0)).select("__row.*")

@@ -94,11 +94,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, one of each near-duplicate group: the one with the smallest id.
 
-    Of rows that repeat that id, one stays. Rows with a null id can't be told apart by id; they all stay.
+    Of rows that repeat that id, the one with the smallest text stays, then by the other columns that have an order. Rows with
+    a null id can't be told apart by id; they all stay. An empty table gives no rows; columns keep their names and order.
     """
     name = "__kept"
     while name in docs.columns:
         name += "_"
     kept = near_duplicates(docs, id_col, text_col).filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
-    named = docs.join(kept, docs[id_col].cast("long") == F.col(name), "left_semi").dropDuplicates([id_col])
+    found = docs.join(kept, docs[id_col].cast("long") == F.col(name), "left_semi")
+    ordered = [text_col, *(c for c, kind in docs.dtypes if c != text_col and "map<" not in kind and "variant" not in kind)]
+    named = found.groupBy(F.col(id_col).cast("long").alias(name)).agg(F.min_by(F.struct(*docs.columns), F.struct(*ordered)).alias("row")).select("row.*")
     return named.unionByName(docs.filter(F.col(id_col).isNull()))

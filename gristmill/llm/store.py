@@ -113,7 +113,10 @@ def encoder(path: str, counting: bool = False) -> Encoder:
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end: int = 1) -> DataFrame:
-    """(doc_id, n_tokens, fold): ids of each row's text and end more; fold is a hash of the text. Null texts are empty."""
+    """(doc_id, n_tokens, fold): ids of each row's text and end more; fold is a hash of the text.
+
+    Null texts are empty. Null ids and repeated rows keep their rows, an empty table gives none, other columns are ignored.
+    """
 
     def make():
         enc = encoder(path, True)
@@ -301,7 +304,8 @@ def digests(spark: SparkSession, folder: str, width: int = 2) -> DataFrame:
 
 
 def reconstruct(spark: SparkSession, folder: str, width: int = 2) -> DataFrame:
-    """(doc_id, ids array<int>) of every document of a store, with the end id."""
+    """(doc_id, ids array<int>) of every document of a store, with the end id. A row for each row that was written, null ids
+    and repeated rows too; none from an empty store."""
     recipes = _recipes(spark, folder)
     piece = recipes.select("part", "local_start", "doc_id", F.posexplode(F.transform(F.sequence(F.lit(0), (F.octet_length("recipe") / KEY).cast("int") - 1), lambda i: F.substring("recipe", i * KEY + 1, F.lit(KEY)))).alias("pos", "key"))
     whole = piece.join(_data(spark, folder).filter("key IS NOT NULL").select("key", "data"), "key").groupBy("part", "local_start", "doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "data"))).alias("x"))

@@ -10,6 +10,7 @@ logistic curve fitted on the same sample, which sets how much length takes off.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import ahocorasick
@@ -104,7 +105,12 @@ class Lexicon:
                     spared.append((at, end))
                 else:
                     found[at] = max(w, found.get(at, w))
-        return sum(w for at, w in found.items() if not any(a <= at < b for a, b in spared)), t.count(" ") - 1
+        starts, ends, up = [a for a, _ in sorted(spared)], [], -1
+        for _, b in sorted(spared):
+            up = max(up, b)
+            ends.append(up)
+        free = lambda at: not spared or (k := bisect_right(starts, at) - 1) < 0 or ends[k] <= at
+        return sum(w for at, w in found.items() if free(at)), t.count(" ") - 1
 
     def scores(self, sums: np.ndarray) -> np.ndarray:
         """Scores of (summed weights, words) rows."""

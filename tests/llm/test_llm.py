@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -227,6 +228,86 @@ def test_pii_added_spans_and_redaction():
     assert pii.base_spans(long) == []
 
 
+def test_spans_that_are_covered():
+    rng = random.Random(4)
+    for _ in range(300):
+        covered, spans = pii.Covered(), []
+        for _ in range(rng.randint(1, 12)):
+            a = rng.randint(0, 40)
+            b = a + rng.randint(1, 9)
+            assert covered.meets(a, b) == any(a < y and x < b for x, y in spans)
+            covered.add(a, b)
+            spans.append((a, b))
+
+
+@pytest.mark.parametrize("what", ["a@b.cc 10[.]0[.]0[.]7 call 555-010-9999 now ", "trash can idiot clown fish "])
+def test_many_spans_take_time_in_proportion(what):
+    lex = toxicity.Lexicon({" idiot ": 3.0, " clown ": 2.0})
+    auto, trees = lex.matcher(), pii.selector()
+    seconds = []
+    for n in (400, 3200):
+        start = time.perf_counter()
+        pii.all_spans(what * n, trees)
+        assert lex.total(what * n, auto)[0] == 3.0 * n * ("idiot" in what)
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 25 * seconds[0] + 0.5
+
+
+def test_added_spans_are_found_in_documents(docs):
+    """Personal data in other spellings, put between the sentences of documents: most is found, and little else."""
+    rng, trees = random.Random(6), pii.selector()
+    texts = [r["text"] for r in docs.collect() if r["text"]][:150]
+    made = [(t, s) for t, s, good in pii.examples(seed=99) if good][: len(texts)]
+    found = extra = 0
+    for t, (context, (a, kind, b)) in zip(texts, made):
+        words = t.split(" ")
+        k = rng.randrange(len(words))
+        before = " ".join(words[:k])
+        whole = f"{before} {context} {' '.join(words[k:])}"
+        at = len(before) + 1
+        new = set(pii.all_spans(whole, trees)) - set(pii.base_spans(whole))
+        found += any(x < at + b and at + a < y for x, _, y in {*new, *pii.base_spans(whole)})
+        extra += sum(not (x < at + len(context) and at < y) for x, _, y in new)
+    assert found >= 0.9 * len(texts) and extra <= 0.05 * len(texts)
+
+
+def test_toxicity_is_the_plain_sum(docs, labels):
+    """Scores against a search for every term and phrase, one after another."""
+    lex = toxicity.fit(docs, labels)
+    auto = lex.matcher()
+    for t in [r["text"] or "" for r in docs.collect()][:120] + ["You trash can, idi0t! clown fish clown"]:
+        f = toxicity.folded(t)
+        spared = [(m.start(), m.start() + len(x) + 1) for x in lex.exceptions for m in re.finditer(f"(?= {x} )", f)]
+        best: dict = {}
+        for term, w in lex.weights.items():
+            for m in re.finditer(f"(?={re.escape(term)})", f):
+                if not any(a <= m.start() < b for a, b in spared):
+                    best[m.start()] = max(w, best.get(m.start(), w))
+        assert lex.total(t, auto)[0] == pytest.approx(sum(best.values()))
+
+
+def test_ridge_and_scores_are_the_plain_ones(spark):
+    """Summed equations against least squares over all rows at once, and calibrated scores against plain ones."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, len(classifier.STATS)))
+    y = (x[:, 0] + 0.3 * rng.normal(size=300) > 0).astype(int)
+    df = spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, y))], "doc_id long, stats array<double>, y int").repartition(5)
+    model = classifier.fit(df)
+    z = classifier.Model(x.mean(0), x.std(0), model.weights, model.knots, model.heights).features(x)
+    damp = classifier.RIDGE * np.eye(z.shape[1])
+    damp[-1, -1] = 0
+    assert model.weights[0] == pytest.approx(np.linalg.solve(z.T @ z + damp + 1e-9 * np.eye(len(damp)), z.T @ y), rel=1e-5, abs=1e-7)
+    assert model.score(x) == pytest.approx(np.clip(np.interp(z @ model.weights[0], model.knots, model.heights), 0, 1), abs=1e-6)
+    assert (np.diff(model.heights) >= 0).all() and np.mean((model.score(x) > 0.5) == y) > 0.9
+
+
+def test_dedup_of_a_repeated_id_is_determined(spark):
+    data = [(1, "b " * 60, 2), (1, "b " * 60, 1), (1, "a " * 60, 9), (2, "a " * 60, 3)]
+    for part in (1, 3):
+        got = rows(simhash.deduplicated(spark.createDataFrame(data, "doc_id long, text string, n int").repartition(part)))
+        assert [(r["doc_id"], r["text"][0], r["n"]) for r in got] == [(1, "a", 9)]
+
+
 def test_bpe_is_tiktokens(docs, odd):
     ranks = bpe.load(RANKS).ranks
     tok = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -359,6 +440,31 @@ def test_packing(spark, docs, odd):
     assert sum(many) / sum(caps) > 0.98
 
 
+def test_packing_of_few_pieces_is_near_the_best():
+    """Against every way of dealing pieces to bins; and no single length is opened for all."""
+    rng, ratios = random.Random(3), []
+
+    def best(sizes, bins=()):
+        if not sizes:
+            return sum(packing.cost(min(c for c in packing.LENGTHS if c >= u)) for u in bins)
+        ways = [bins[:k] + (u + sizes[0],) + bins[k + 1 :] for k, u in enumerate(bins) if u + sizes[0] <= max(packing.LENGTHS)]
+        return min(best(sizes[1:], w) for w in (*ways, (*bins, sizes[0])))
+
+    for _ in range(150):
+        sizes = sorted((min(8192, int(rng.lognormvariate(6.5, 1.2)) + 1) for _ in range(rng.randint(1, 7))), reverse=True)
+        ratios.append(sum(map(packing.cost, packing.pack(sizes)[2])) / best(tuple(sizes)))
+    assert max(ratios) < 1.3 and np.mean(ratios) < 1.01
+    many = sorted((min(8192, int(rng.lognormvariate(6.5, 1.2)) + 1) for _ in range(3000)), reverse=True)
+    used = Counter(packing.pack(many)[2])
+    assert all(used[c] > 20 for c in (1024, 2048, 4096, 8192))
+
+
+def test_equal_rows_spread_over_shards(spark):
+    same = spark.createDataFrame([(1, 100, 7)] * 400, "doc_id long, n_tokens long, fold long")
+    got = rows(packing.packed(same, shard=4000))
+    assert len(got) == 400 and len({r["shard"] for r in got}) > 5
+
+
 def exact(x, ids, every, k):
     out = {}
     for q in sorted({i for i in ids if i % every == 0}):
@@ -377,6 +483,15 @@ def test_nearest(spark):
     assert got == exact(np.vstack(d.embedding.to_list()).astype(float), d.vec_id.to_numpy(), 20, 10)
 
 
+def test_nearest_recall_with_defaults(spark):
+    """2000 vectors are four times what every query sees at least, so the index decides."""
+    e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    d = e.toPandas()
+    assert len(d) > 3 * ann.ENOUGH
+    want, got = exact(np.vstack(d.embedding.to_list()).astype(float), d.vec_id.to_numpy(), 100, 10), rows(ann.nearest(e))
+    assert len(got) == 10 * len(want) and np.mean([(r["vec_id"], r["score"]) in want[r["query_id"]] for r in got]) >= 0.9
+
+
 def test_nearest_recall_and_odd_rows(spark):
     rng = np.random.default_rng(1)
     x = np.vstack([rng.normal(size=(2000, 8)), np.tile(rng.normal(size=8), (1000, 1))])
