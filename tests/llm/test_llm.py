@@ -608,3 +608,28 @@ def test_pipeline(spark):
         assert r["text"] == before[r["doc_id"]] or pii.all_spans(before[r["doc_id"]], pii.selector())
     five = rows(c.best_fit_packing(spark, four, SMALL))
     assert {r["doc_id"] for r in five} == {r["doc_id"] for r in rows(four)} and len(c.STAGES) == 5
+
+
+def test_pipeline_with_odd_rows(spark, docs):
+    """Null ids and texts, repeated rows, further columns with clashing names, an empty table; each stage on its predecessor."""
+    import corpus_pipeline as c
+
+    extra = {"__words": F.lit(1.5), "score": F.lit("x"), "fold": F.lit(None).cast("int"), "__row": F.col("doc_id"), "piece": F.lit("y")}
+    some = docs.filter("doc_id < 60").withColumns(extra)
+    some = some.unionByName(some.filter("doc_id < 5")).unionByName(some.filter("doc_id = 7").withColumn("doc_id", F.lit(None).cast("long"))).unionByName(some.filter("doc_id = 8").withColumn("text", F.lit(None).cast("string")))
+    for df in (some, some.limit(0)):
+        now = df.cache()
+        for name, stage in c.STAGES[:-1]:
+            after = stage(spark, now, SMALL).cache()
+            assert after.columns == df.columns and after.count() <= now.count(), name
+            now = after
+        last = rows(c.best_fit_packing(spark, now, SMALL))
+        assert {r["doc_id"] for r in last} == {r["doc_id"] for r in rows(now)}
+
+
+def test_pipeline_run_leaves_no_folder(spark):
+    import corpus_pipeline as c
+    from gristmill.session import shared_dir
+
+    assert c.run(spark, SMALL).count() > 0
+    assert not list(Path(shared_dir(spark).removeprefix("file:")).glob("gristmill-*"))
