@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections import Counter
@@ -30,7 +31,10 @@ class Language:
 
 
 # Frequent words of romanized text.
-ROMANIZED = frozenset("chha chhan cha ho huncha garchha garna ko ka ki le lai ma ra bhaneko bhane yo tyo kina kasari nepal nepali uttar prashna".split())
+ROMANIZED = frozenset({
+    "chha", "chhan", "cha", "ho", "huncha", "garchha", "garna", "ko", "ka", "ki", "le", "lai", "ma", "ra", "bhaneko", "bhane", "yo",
+    "tyo", "kina", "kasari", "nepal", "nepali", "uttar", "prashna",
+})
 LANGUAGES = {x.code: x for x in (Language("en"), Language("ne-Deva", DEVANAGARI), Language("ne-Latn", forbidden=DEVANAGARI, markers=ROMANIZED))}
 
 
@@ -45,17 +49,24 @@ def language_issue(x: Column, spec: Language) -> Column:
     """The first check that a text fails, null if none: empty, forbidden script, too little of the script, too few markers."""
     out = F.when(F.trim(F.regexp_replace(x, r"(?U)\s+", " ")) == "", "empty_text")
     if spec.forbidden:
-        out = out.when(x.rlike(spec.forbidden), f"forbidden_script:{spec.code}")
+        out = F.coalesce(out, F.when(x.rlike(spec.forbidden), f"forbidden_script:{spec.code}"))
     if spec.script:
         share = F.regexp_count(x, F.lit(spec.script)) / F.greatest(F.lit(1), F.regexp_count(x, F.lit(r"\p{L}")))
-        out = out.when(share < spec.least_share, F.concat(F.lit(f"insufficient_script_ratio:{spec.code}:"), F.format_string("%.3f", share)))
+        few = lambda v: F.when(v < spec.least_share, F.concat(F.lit(f"insufficient_script_ratio:{spec.code}:"), F.format_string("%.3f", v)))
+        out = F.coalesce(out, _once(share, few))
     if spec.markers:
         words = F.array_distinct(F.regexp_extract_all(F.lower(x), F.lit(r"(\p{L}+)"), 1))
         hits = F.size(F.array_intersect(words, F.array(*map(F.lit, sorted(spec.markers)))))
-        out = out.when(hits < spec.least_markers, F.concat(F.lit(f"insufficient_marker_words:{spec.code}:"), hits.cast("string")))
+        few = lambda v: F.when(v < spec.least_markers, F.concat(F.lit(f"insufficient_marker_words:{spec.code}:"), v.cast("string")))
+        out = F.coalesce(out, _once(hits, few))
     return out
 
 
+def _once(x: Column, use) -> Column:
+    """use(x) with x computed once: a name inside a lambda isn't replaced by its expression."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
 def script_share(x: Column, script: str) -> Column:
     """Letters of a script among all letters, by the end of its name (Deva, Latn); 0 without letters, null for other names."""
     kind = {"deva": r"\p{IsDevanagari}", "latn": r"\p{IsLatin}"}.get(script.casefold()[-4:])
@@ -75,11 +86,12 @@ PROTECTED = (
     r"|[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}|</?[A-Za-z][^>]*>|(?<![\w])[-+]?\d+(?:[.,:/-]\d+)*(?:%|°[CF]?|[A-Za-z]{1,4})?"
 )
 _PROTECTED = re.compile(PROTECTED, re.S)
+_SPANS = "(?sU)" + PROTECTED
 
 
 def protected_spans(x: Column) -> Column:
     """Code, mathematics, links, addresses, tags and numbers with units, in order."""
-    return F.regexp_extract_all(x, F.lit("(?s)" + PROTECTED), 0)
+    return F.regexp_extract_all(x, F.lit(_SPANS), 0)
 
 
 @pandas_column("double")
@@ -101,42 +113,66 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 MESSAGES = "array<struct<from:string,value:string>>"
-_DEVA, _LATIN = re.compile(DEVANAGARI), re.compile("[A-Za-z]")
-
-
-def _translation(source, target, reference) -> dict:
-    source, target = ([] if m is None else list(m) for m in (source, target))
-    roles, got = [m["from"] for m in source], [m["from"] for m in target]
-    longest = max(len(roles), len(got), 1)
-    structure = (min(len(roles), len(got)) / longest + sum(map(str.__eq__, roles, got)) / longest) / 2 if source else 0.0
-    filled = sum(bool(m["value"].strip()) for m in target) / len(target) if target else 0.0
-    shares = []
-    for a, b in zip(source, target):
-        before, after = (_PROTECTED.sub(" ", m["value"]) for m in (a, b))
-        if a["from"] != "tool" and len(_LATIN.findall(before)) >= 4:
-            deva, latin = len(_DEVA.findall(after)), len(_LATIN.findall(after))
-            copied = before.casefold().strip() == after.casefold().strip()
-            shares.append(0.0 if copied or not deva + latin else deva / (deva + latin))
-    script = sum(shares) / len(shares) if shares else 1.0
-    want, kept = (Counter(s for m in ms for s in _PROTECTED.findall(m["value"])) for ms in (source, target))
-    protected = sum((want & kept).values()) / sum(want.values()) if want else 1.0
-    near = None
-    if reference is not None:
-        reference = list(reference)
-        fold = lambda t: " ".join(t.casefold().split())
-        ratios = [SequenceMatcher(None, fold(a["value"]), fold(b["value"])).ratio() for a, b in zip(target, reference)]
-        near = sum(ratios) / len(ratios) if ratios and [m["from"] for m in reference] == got else 0.0
-    parts = 0.05 + 0.10 * structure + 0.05 * filled
-    score = parts + (0.55 * script + 0.25 * protected if near is None else 0.25 * script + 0.20 * protected + 0.35 * near)
-    score = min(score, 0.49) if structure < 1 or filled < 1 else min(score, 0.79) if protected < 1 else score
-    return {"score": max(0.0, min(1.0, score)), "structure": structure, "nonempty": filled, "script": script, "protected": protected, "reference": near}
-
-
-@pandas_column("score double, structure double, nonempty double, script double, protected double, reference double")
-def translation(source: pd.Series, target: pd.Series, reference: pd.Series) -> pd.DataFrame:
-    """Scores of translated conversations (arrays of from, value): parts, and their weighted sum with caps for broken ones."""
-    rows = [_translation(*r) for r in zip(source, target, reference)]
-    return pd.DataFrame(rows, columns=["score", "structure", "nonempty", "script", "protected", "reference"]).astype(float)
+
+
+@pandas_column("double")
+def kept_share(want: pd.Series, got: pd.Series) -> pd.Series:
+    """Share of an array's values that another has too, as bags; 1 without any."""
+
+    def one(a, b) -> float:
+        wanted, there = (Counter(() if x is None else x) for x in (a, b))
+        return (wanted & there).total() / wanted.total() if wanted else 1.0
+
+    return pd.Series([one(a, b) for a, b in zip(want, got)], dtype=float)
+
+
+@pandas_column("double")
+def mean_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Mean of similarity() over two arrays of texts, place by place; 0 without any, null texts are empty."""
+    fold = lambda t: " ".join((t or "").casefold().split())
+    ratios = [[SequenceMatcher(None, fold(x), fold(y)).ratio() for x, y in zip(p, q)] if p is not None and q is not None else [] for p, q in zip(a, b)]
+    return pd.Series([sum(r) / len(r) if r else 0.0 for r in ratios], dtype=float)
+
+
+def translation(source: Column | str, target: Column | str, reference: Column | str) -> Column:
+    """Scores of translated conversations (arrays of from, value): structure, nonempty, script, protected and reference (null
+    without one), and score, their weighted sum with caps for broken ones.
+
+    Null conversations have no messages, and null values are empty texts.
+    """
+    none = F.array().cast(MESSAGES)
+    s, t = (F.coalesce(F.col(x) if isinstance(x, str) else x, none) for x in (source, target))
+    ref = F.col(reference) if isinstance(reference, str) else reference
+    shared, longest = F.least(F.size(s), F.size(t)), F.greatest(F.size(s), F.size(t), F.lit(1))
+    head = lambda x: F.slice(x, 1, shared)
+    count = lambda flags: F.size(F.filter(flags, lambda x: x))
+    values = lambda x: F.transform(x, lambda m: F.coalesce(m["value"], F.lit("")))
+    share = lambda n, of, otherwise: F.when(of > 0, n / F.when(of > 0, of)).otherwise(otherwise)
+
+    same_roles = count(F.zip_with(head(s), head(t), lambda a, b: a["from"].eqNullSafe(b["from"])))
+    structure = F.when(F.size(s) > 0, (shared / longest + same_roles / longest) / 2).otherwise(0.0)
+    filled = share(count(F.transform(values(t), lambda v: F.trim(v) != "")), F.size(t), 0.0)
+
+    def script(a: Column, b: Column) -> Column:
+        before, after = (F.regexp_replace(F.coalesce(m["value"], F.lit("")), _SPANS, " ") for m in (a, b))
+        native, latin = F.regexp_count(after, F.lit(DEVANAGARI)), F.regexp_count(after, F.lit("[A-Za-z]"))
+        copied = F.lower(F.trim(before)) == F.lower(F.trim(after))
+        return F.when(~a["from"].eqNullSafe(F.lit("tool")) & (F.regexp_count(before, F.lit("[A-Za-z]")) >= 4), F.when(copied, 0.0).otherwise(share(native, native + latin, 0.0)))
+
+    shares = F.filter(F.zip_with(head(s), head(t), script), lambda x: x.isNotNull())
+    in_script = share(F.aggregate(shares, F.lit(0.0), lambda a, x: a + x), F.size(shares), 1.0)
+    spans = lambda x: F.flatten(F.transform(values(x), protected_spans))
+    protected = kept_share(spans(s), spans(t))
+    roles = lambda x: F.transform(x, lambda m: m["from"])
+    near = F.when(ref.isNotNull(), F.when(roles(ref).eqNullSafe(roles(t)), mean_similarity(values(t), values(F.coalesce(ref, none)))).otherwise(0.0))
+
+    # The weights of the parts without and with a reference, and the caps.
+    text = F.when(near.isNull(), 0.55 * in_script + 0.25 * protected).otherwise(0.25 * in_script + 0.20 * protected + 0.35 * near)
+    score = 0.05 + 0.10 * structure + 0.05 * filled + text
+    score = F.when((structure < 1) | (filled < 1), F.least(score, F.lit(0.49))).when(protected < 1, F.least(score, F.lit(0.79))).otherwise(score)
+    score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))
+    parts = (score, "score"), (structure, "structure"), (filled, "nonempty"), (in_script, "script"), (protected, "protected"), (near, "reference")
+    return F.struct(*(c.alias(n) for c, n in parts))
 
 
 def translation_reward(score: Column, structure: Column, reference: Column, judge: Column) -> Column:
@@ -144,6 +180,66 @@ def translation_reward(score: Column, structure: Column, reference: Column, judg
     return F.when(structure < 1, 0.0).otherwise(F.coalesce(F.least(score, reference, judge), F.lit(0.0)))
 
 
+# What a request keeps, and what makes an argument look like code.
+CODE_LIKE = r"(?U)\d|[_@/\\]|\w[-.]\w|(?<=\w)[A-Z]|^[A-Z]{2,}"
+_LINKS = r"(?U)https?://[^\s<>]+|www\.[^\s<>]+|[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}"
+
+
+def links(x: Column) -> Column:
+    """Links and mail addresses of a text, without signs at their ends."""
+    return F.transform(F.regexp_extract_all(x, F.lit(_LINKS), 0), lambda t: F.regexp_replace(F.trim(t), r"""[.,;:!?)\]}"'`]+$""", ""))
+
+
+def lost(want: Column, got: Column) -> Column:
+    """Values that an array has more often than another, each once, in order."""
+    often = lambda x, v: F.size(F.filter(x, lambda y: y == v))
+    return F.array_sort(F.filter(F.array_distinct(want), lambda v: often(want, v) > often(got, v)))
+
+
+@pandas_column("array<string>")
+def leaves(x: pd.Series) -> pd.Series:
+    """Strings and numbers at the leaves of JSON text, numbers as text (whole ones without a fraction); none if it doesn't parse."""
+
+    def walk(v) -> list[str]:
+        if isinstance(v, dict):
+            v = list(v.values())
+        if isinstance(v, list):
+            return [t for w in v for t in walk(w)]
+        if isinstance(v, float) and v.is_integer():
+            v = int(v)
+        return [str(v)] if isinstance(v, (str, int, float)) and not isinstance(v, bool) else []
+
+    def one(t: str | None) -> list[str]:
+        try:
+            return walk(json.loads(t or "null"))
+        except ValueError:
+            return []
+
+    return x.map(one)
+
+
+def literals(arguments: Column, source: Column, code: str | None = None, least: int = 2) -> Column:
+    """Argument values that a text spells out, in order: with a word character, of at least so many characters unless digits.
+    With code (a pattern), only values in which it is found and single capitalized words."""
+    found = F.filter(F.transform(leaves(arguments), F.trim), lambda v: v.rlike(r"(?U)\w") & ((F.length(v) >= least) | v.rlike(r"(?U)^\d+$")))
+    if code is not None:
+        found = F.filter(found, lambda v: v.rlike(code) | v.rlike("^[A-Z][a-z]+$"))
+    return F.array_distinct(F.filter(found, lambda v: F.lower(source).contains(F.lower(v))))
+
+
+def localization_issues(source: Column, localized: Column, arguments: Column, spec: Language, code: str = CODE_LIKE) -> Column:
+    """Why a localized request is refused, an empty array if it isn't: empty, unchanged, not in the language (values and links
+    left out), links lost, or argument values lost. arguments is JSON text of all expected arguments."""
+    t = F.trim(F.coalesce(localized, F.lit("")))
+    bare = F.aggregate(F.sort_array(F.transform(literals(arguments, source), lambda v: F.struct(F.length(v).alias("n"), v.alias("v"))), False), t, lambda a, x: F.regexp_replace(a, F.concat(F.lit(r"(?i)\Q"), x["v"], F.lit(r"\E")), F.lit(" ")))
+    bare = F.regexp_replace(bare, _LINKS, " ")
+    prose = F.when(F.trim(bare) != "", bare).otherwise(t)
+    gone = F.filter(literals(arguments, source, code), lambda v: ~F.lower(t).contains(F.lower(v)))
+    named = lambda p, x: F.transform(x, lambda v: F.concat(F.lit(p), v))
+    more = F.concat(F.array_compact(F.array(language_issue(prose, spec))), named("missing_protected_token:", lost(links(source), links(t))), named("missing_argument_literal:", gone))
+    return F.when(t == "", F.array(F.lit("empty_localization"))).when(F.lower(t) == F.lower(F.trim(source)), F.array(F.lit("not_localized"))).otherwise(more)
+
+
 def has_token(x: Column, needle: Column) -> Column:
     """Whether needle stands in x with no word character on either side."""
     word = r"[\p{L}\p{N}_]"

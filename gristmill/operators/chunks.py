@@ -45,9 +45,10 @@ def chunked_pages(docs: DataFrame, id_col: str, pages_col: str, size: int, overl
         def one(pages) -> list[dict]:
             spans, parts, at = [], [], 0
             for p in pages if pages is not None else []:
-                spans.append((at, at + len(p["text"]), p["page"]))
-                parts.append(p["text"])
-                at += len(p["text"]) + 2
+                text = p["text"] or ""
+                spans.append((at, at + len(text), p["page"]))
+                parts.append(text)
+                at += len(text) + 2
             whole, out = "\n\n".join(parts), []
             for a, b in windows(whole, size, overlap):
                 on = [p for s, e, p in spans if e > a and s < b]

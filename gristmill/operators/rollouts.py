@@ -113,6 +113,40 @@ def exportable(success: Column, answer: Column, expected: Column, answer_correct
     return F.coalesce(success, F.lit(False)) & (F.coalesce(answer, F.lit("")) != "") & F.when(expected.isNotNull(), known).otherwise(F.coalesce(reward > 0.5, F.lit(False)))
 
 
+def session_metrics(steps: DataFrame, key: str = "session_id", order: str = "step") -> DataFrame:
+    """Of each session's executions (success, execution_time_ms, output_chars, truncated, reward): counts, sums, the mean time,
+    the share of successes, and the rewards in order. A null reward is none, a null success a failure."""
+    ok, r = F.coalesce(F.col("success"), F.lit(False)), F.coalesce(F.col("reward"), F.lit(0.0))
+    return steps.groupBy(key).agg(
+        F.count("*").alias("total_executions"), F.count_if(ok).alias("successful_executions"), F.count_if(~ok).alias("failed_executions"), F.sum("execution_time_ms").alias("total_execution_time_ms"),
+        F.sum("output_chars").alias("total_output_chars"), F.count_if("truncated").alias("truncation_count"), F.avg("execution_time_ms").alias("avg_execution_time_ms"),
+        (F.count_if(ok) / F.count("*")).alias("success_rate"), F.sum(r).alias("total_reward"), F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), r.alias("r")))), lambda x: x["r"]).alias("step_rewards"),
+    )
+
+
+def standalone(trajectories: DataFrame) -> DataFrame:
+    """One row over trajectories that are in no group: how many, their means, and answers by correctness."""
+    c = F.col("answer_correct")
+    return trajectories.filter("group_id IS NULL").agg(
+        F.count("*").alias("total_standalone"), F.avg("reward").alias("avg_reward"), F.count_if(c).alias("correct_answers"), F.count_if(~c).alias("incorrect_answers"),
+        F.count_if(c.isNull()).alias("unknown_answers"), F.avg("num_turns").alias("avg_turns"), F.avg("num_code_blocks").alias("avg_code_blocks"),
+    )
+
+
+def troubled(rollouts: DataFrame, key: str = "group_id") -> DataFrame:
+    """Groups with any rollout that failed, broke off, timed out or made an error, with the four sums."""
+    sums = status_counts(rollouts, key).drop("n", "n_completed").join(rollouts.groupBy(key).agg(F.sum("num_errors").alias("sum_errors")), key)
+    return sums.filter("n_failed > 0 OR n_error > 0 OR n_timeout > 0 OR sum_errors > 0")
+
+
+def scored(reward: Column, steps: Column, enabled: bool = True) -> Column:
+    """(total_reward, step_rewards): nothing where rewards are off, a null reward as 0, and the total as the only step where
+    there are none."""
+    total = F.coalesce(reward, F.lit(0.0)) if enabled else F.lit(0.0)
+    none = F.array().cast("array<double>")
+    return F.struct(total.alias("total_reward"), (F.when(F.size(F.coalesce(steps, none)) == 0, F.array(total)).otherwise(steps) if enabled else none).alias("step_rewards"))
+
+
 def run_summary(results: DataFrame) -> DataFrame:
     """processed, accepted, rejected, errors, acceptance_rate and mean_reward (0 on no rows) of (accepted, errored, reward)."""
     return results.agg(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gristmill.functions import parse as P
+from gristmill.functions import tools
 from gristmill.functions.text import file_name
 from gristmill.operators.chunks import chunked
 
@@ -61,7 +62,24 @@ def function_calls(rows: DataFrame, order: list[str], limit: int | None = None)
     """Rows with query, tools and answers (JSON text); rows that lack one are left out before the limit counts."""
     whole = rows.filter(_filled(F.col("query")).isNotNull() & F.try_parse_json("tools").isNotNull() & F.try_parse_json("answers").isNotNull())
     whole = whole.orderBy(*order).limit(limit) if limit is not None else whole
-    return whole.select(F.col("id").cast("string").alias("id"), F.col("query").alias("prompt"), P.openai_tools("tools").alias("tools"), P.native_tool_calls("answers").alias("expected"))
+    return whole.select(F.col("id").cast("string").alias("id"), F.col("query").alias("prompt"), tools.openai_tools("tools").alias("tools"), P.native_tool_calls("answers").alias("expected"))
+
+
+def math_rows(rows: DataFrame, order: list[str], id_col: str | None = None, prompt_col: str = "prompt", answer_col: str | None = None, context_col: str | None = None) -> DataFrame:
+    """Problems as tasks; rows without a prompt are left out, and tasks without an id get their running number among the others.
+    Other columns go to metadata, with the answer under expected_answer."""
+    kept = numbered(rows.filter(F.coalesce(F.col(prompt_col), F.lit("")) != ""), order)
+    number = F.col("index").cast("string")
+    ids = F.coalesce(F.col(id_col).cast("string"), number) if id_col else number
+    answer = F.col(answer_col) if answer_col else F.lit(None).cast("string")
+    rest = [c for c in rows.columns if c not in (id_col, prompt_col, context_col, "expected_answer")]
+    context = F.col(context_col).cast("string") if context_col else F.lit(None).cast("string")
+    return kept.select(ids.alias("id"), F.col(prompt_col).alias("prompt"), context.alias("context"), F.to_json(F.struct(*rest, answer.alias("expected_answer"))).alias("metadata"))
+
+
+def of_repositories(rows: DataFrame, names: list[str] | None) -> DataFrame:
+    """Repair rows of some repositories; all without names."""
+    return rows.filter(F.col("repo").isin(names)) if names else rows
 
 
 def conversation_calls(rows: DataFrame) -> DataFrame:

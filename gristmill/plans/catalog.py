@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gristmill.plans import analytics, curation, extensions, language, parsing, rollout_queries, sinks_queries, task_queries, verification  # noqa: F401
+from gristmill.plans import analytics, curation, export_queries, extensions, language, parsing, rollout_queries, sinks_queries, task_queries, verification  # noqa: F401
 from gristmill.plans.registry import ORACLES, QUERIES
 
 

@@ -59,23 +59,14 @@ def hash_split(spark, d):
     return table(spark, d, "documents").select("doc_id", T.split_for(F.col("doc_id").cast("string")).alias("split"))
 
 
-@query(f"""WITH RECURSIVE n AS (SELECT DISTINCT 'document:' || user_id // 3 AS a, 'query:' || (event_id % 97) // 2 * 10 + (user_id // 30) AS b FROM events WHERE event_id % 50 = 0),
-e AS (SELECT a, b FROM n UNION SELECT b, a FROM n), r AS (SELECT a AS x, a AS y FROM e UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a),
-c AS (SELECT x, min(y) AS split_group FROM r GROUP BY x)
-SELECT event_id, split_group, CASE WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'validation' ELSE 'test' END AS split FROM (SELECT event_id, split_group, {_U.format(k='split_group')} AS u
-  FROM events JOIN c ON c.x = 'document:' || user_id // 3 WHERE event_id % 50 = 0)""")
+@query(f"""WITH RECURSIVE n AS (SELECT DISTINCT 'document:' || user_id // 3 AS a, 'query:' || (event_id % 97) // 2 * 10 + (user_id // 30) AS b FROM events),
+e AS (SELECT a, b FROM n UNION SELECT b, a FROM n), c(x, low) USING KEY (x) AS (SELECT DISTINCT a, a FROM e
+  UNION (SELECT c.x, min(o.low) FROM recurring.c AS o JOIN e ON e.a = o.x JOIN recurring.c AS c ON c.x = e.b WHERE o.low < c.low GROUP BY c.x))
+SELECT event_id, low AS split_group, CASE WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'validation' ELSE 'test' END AS split FROM (SELECT event_id, low, {_U.format(k='low')} AS u
+  FROM events JOIN c ON c.x = 'document:' || user_id // 3)""")
 def component_split(spark, d):
-    """Rows that share a document or a query share a split; every fiftieth event stands for a row, as in the SQL."""
-    return _split(table(spark, d, "events").filter("event_id % 50 = 0"))
-
-
-@query()
-def component_split_all(spark, d):
-    """component_split over the whole table; the recursive SQL is too slow for that."""
-    return _split(table(spark, d, "events"))
-
-
-def _split(events):
+    """Rows that share a document or a query share a split."""
+    events = table(spark, d, "events")
     e = events.select("event_id", F.expr("cast(user_id div 3 as string)").alias("doc"), F.expr("cast((event_id % 97) div 2 * 10 + user_id div 30 as string)").alias("q"))
     return C.split_groups(e, F.col("doc"), F.col("q")).select("event_id", "split_group", "split")
 

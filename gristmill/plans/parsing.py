@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gristmill.functions import parse as P
+from gristmill.functions import tools
 from gristmill.functions import text as T
 from gristmill.functions import validators as V
 from gristmill.plans.registry import query, table
@@ -93,10 +94,18 @@ def parse_code_blocks(spark, d):
     return _marked(spark, d).select("doc_id", F.to_json(P.code_blocks(F.col("t"))).alias("blocks"))
 
 
-@query()
+#: A document as a flat tool: its source is the name, its text the description of a parameter.
+_TOOL = """'{"name":"f","description":"' || source || '","parameters":{"x":{"description":' || to_json(text) || ',"type":"integer"},"y":{"description":"","type":"array"}}}'"""
+
+
+@query(f"SELECT doc_id, '[' || {_TOOL} || ']' AS flat, '<tool_call>' || chr(10) || '{{\"name\": \"' || source || '\", \"arguments\": {{}}}}' || chr(10) || '</tool_call>' AS call FROM documents")
 def hermes_tools(spark, d):
-    flat = F.concat(F.lit('[{"name": "f'), F.col("doc_id").cast("string"), F.lit('", "parameters": {"x": {"type": "int", "description": "n"}, "y": {"type": "list", "default": "a"}}}]'))
-    return table(spark, d, "documents").select("doc_id", P.openai_tools(flat).alias("tools"), P.hermes_call(F.lit("f"), F.lit("{}")).alias("call"))
+    """Documents as flat tool definitions, put into the function-calling form and back."""
+    text = F.to_json(F.array("text"))
+    x = F.concat(F.lit('{"type": "int", "description": '), F.substring(text, F.lit(2), F.length(text) - 2), F.lit("}"))
+    flat = F.concat(F.lit('[{"name": "f", "description": "'), F.col("source"), F.lit('", "parameters": {"x": '), x, F.lit(', "y": {"type": "list", "default": "a"}}}]'))
+    wrapped = table(spark, d, "documents").select("doc_id", "source", tools.openai_tools(flat).alias("tools"))
+    return wrapped.select("doc_id", tools.hermes_tools(F.col("tools")).alias("flat"), P.hermes_call(F.col("source"), F.lit("{}")).alias("call"))
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN (doc_id % 10)::DOUBLE ELSE 7.5 END AS score FROM documents")
@@ -110,16 +119,9 @@ def squeeze_text(spark, d):
     return table(spark, d, "documents").select("doc_id", T.squeeze(F.col("text")).alias("text"))
 
 
-@query("SELECT doc_id, lower(trim(regexp_replace(nfc_normalize(text), '\\s+', ' ', 'g'))) AS key FROM documents WHERE NOT contains(text, 'ß')")
+@query("SELECT doc_id, replace(lower(trim(regexp_replace(nfc_normalize(text), '\\s+', ' ', 'g'))), 'ß', 'ss') AS key FROM documents")
 def normalize_key(spark, d):
-    """Case folding as lower-casing where there is no sharp s."""
-    docs = table(spark, d, "documents").filter(~F.col("text").contains("ß"))
-    return docs.select("doc_id", T.normalize_key(F.col("text")).alias("key"))
-
-
-@query()
-def normalize_key_all(spark, d):
-    """A key for every document; the SQL of normalize_key has no case folding, so it leaves out texts with a sharp s."""
+    """A key for every document; of what these texts hold, folding differs from lower-casing in the sharp s alone."""
     return table(spark, d, "documents").select("doc_id", T.normalize_key(F.col("text")).alias("key"))
 
 

@@ -102,18 +102,9 @@ def _client():
     return G.Scripted({"error": RuntimeError("down"), "click": "Final Answer: yes"}, "no")
 
 
-@query("SELECT event_id, r AS rollout_index, substr(sha256(event_id || chr(10) || r), 1, 24) AS rollout_id, CASE event_type WHEN 'click' THEN 'Final Answer: yes' WHEN 'error' THEN NULL ELSE 'no' END AS output, CASE event_type WHEN 'error' THEN 'RuntimeError: down' END AS output_error FROM events, (SELECT unnest([0, 1, 2])::INT AS r) WHERE event_id % 10 = 0")
+@query("SELECT event_id, r AS rollout_index, substr(sha256(event_id || chr(10) || r), 1, 24) AS rollout_id, CASE event_type WHEN 'click' THEN 'Final Answer: yes' WHEN 'error' THEN NULL ELSE 'no' END AS output, CASE event_type WHEN 'error' THEN 'RuntimeError: down' END AS output_error FROM events, (SELECT unnest([0, 1, 2])::INT AS r)")
 def generation(spark, d):
-    """Three rollouts of every tenth event, as in the SQL."""
-    return _generated(table(spark, d, "events").filter("event_id % 10 = 0"))
-
-
-@query()
-def generation_all(spark, d):
     """Three rollouts of every event."""
-    return _generated(table(spark, d, "events"))
-
-
-def _generated(events):
+    events = table(spark, d, "events")
     rows = G.rollout_rows(events.select("event_id", "event_type"), 3, "event_id")
     return G.generated(rows, _client, F.concat(F.lit("type: "), F.col("event_type"))).drop("event_type")

@@ -34,10 +34,13 @@ def ready_for_python(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset (local tests), one of our own."""
+    """The folder of spark.checkpoint.dir, or the checkpoint folder that is set; where neither is and the session is local, one
+    of our own. On a cluster a folder of one machine would lose data, so there it is an error."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not named and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="gristmill-checkpoint-"))
     return named or sc._jsc.sc().getCheckpointDir().get()
 

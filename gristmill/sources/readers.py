@@ -154,7 +154,8 @@ def numbered_rows(offset: int, length: int) -> list[tuple]:
 
 
 def pdf_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(path, pages array of page and text) of PDF files, non-empty pages only. Needs the optional pypdf package."""
+    """(path, pages array of page and text) of PDF files, non-empty pages only; null for a file that can't be read. Needs the
+    optional pypdf package."""
     import pandas as pd
 
     @F.pandas_udf("array<struct<page:int,text:string>>")
@@ -163,6 +164,12 @@ def pdf_pages(spark: SparkSession, path: str) -> DataFrame:
 
         from pypdf import PdfReader
 
-        return x.map(lambda b: [{"page": i, "text": t} for i, p in enumerate(PdfReader(io.BytesIO(b)).pages, 1) if (t := (p.extract_text() or "").strip())])
+        def one(b):
+            try:
+                return [{"page": i, "text": t} for i, p in enumerate(PdfReader(io.BytesIO(b)).pages, 1) if (t := (p.extract_text() or "").strip())]
+            except Exception:  # a broken file is a value, not the end of the job
+                return None
+
+        return x.map(one)
 
     return spark.read.format("binaryFile").load(path).select("path", pages("content").alias("pages"))

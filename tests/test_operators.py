@@ -6,8 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from gristmill.functions import lang, parse, rewards, text, validators, verify
-from gristmill.operators import chunks, conversations, curate, dashboard, generate, rollouts
+from gristmill.functions import lang, parse, rewards, text, tools, validators, verify
+from gristmill.operators import chunks, conversations, curate, dashboard, exports, generate, mining, rollouts
 from gristmill.operators.components import connected_components
 from gristmill.sources import config, readers, sinks
 from gristmill.streaming import streams
@@ -250,3 +250,91 @@ def test_streams(spark, tmp_path):
     for _ in range(2):
         streams.export_stream(rows.select(F.col("event_id").alias("id"), "bad"), out, str(tmp_path / "e")).awaitTermination(120)
     assert spark.read.json(out).count() == 4
+
+
+def test_tool_definitions_of_every_shape(spark):
+    flat = '[{"name": "f", "description": "d", "parameters": {"a": {"type": "INT", "description": "n"}, "b": {"type": "list", "default": "x"}, "c": {"default": ""}, "e": "plain"}}, {"parameters": ["x"]}, 7, "s", null]'
+    got = json.loads(one(spark, tools.openai_tools(F.col("x")), x=flat))
+    assert got[0]["function"]["parameters"] == {
+        "type": "object", "required": ["a", "c"],
+        "properties": {"a": {"type": "integer", "description": "n"}, "b": {"type": "array", "description": ""}, "c": {"type": "string", "description": ""}, "e": {"type": "string", "description": "plain"}},
+    }
+    assert [t["function"]["name"] for t in got] == ["f", "unknown"] and got[1]["function"]["description"] == "Execute unknown"
+    for bad in ("5", "", "no", None, '"x"'):
+        assert one(spark, tools.openai_tools(F.col("x")), x=bad) is None
+    back = json.loads(one(spark, tools.hermes_tools(F.col("x")), x=json.dumps(got)))
+    assert back[0]["parameters"]["a"] == {"description": "n", "type": "integer"} and back[1]["parameters"] == {}
+    system = 'a <tools>no</tools> <tools>{"x": 1}</tools> <tools>[{"name": "g"}, {"type": "function", "function": {"name": "h"}}]</tools>'
+    assert [t["function"]["name"] for t in json.loads(one(spark, tools.prompt_tools(F.col("x")), x=system))] == ["g", "h"]
+    assert one(spark, tools.prompt_tools(F.col("x")), x=None) is None
+
+
+def test_localization(spark):
+    got = lambda s, t, a: one(spark, lang.localization_issues(F.col("s"), F.col("t"), F.col("a"), lang.language("ne-Deva")), s=s, t=t, a=a)
+    source, arguments = "Weather in Paris on https://a.b/c for id_7, mail x@y.zz", '{"city": "Paris", "n": {"id": ["id_7", true, 2.0]}}'
+    assert got(source, "", arguments) == ["empty_localization"] and got(source, source.upper(), arguments) == ["not_localized"]
+    fine = "पेरिस को मौसम Paris मा https://a.b/c हेर्नुहोस् id_7 को लागि x@y.zz"
+    assert got(source, fine, arguments) == []
+    assert got(source, "मौसम Paris हेर्नुहोस्", arguments) == ["missing_protected_token:https://a.b/c", "missing_protected_token:x@y.zz", "missing_argument_literal:id_7"]
+    assert got(source, "the weather of Paris https://a.b/c id_7 x@y.zz", arguments)[0].startswith("insufficient_script_ratio")
+    assert one(spark, lang.leaves(F.col("x")), x='{"a": [1, 2.0, 2.5, true, null, {"b": "c"}]}') == ["1", "2", "2.5", "c"]
+    assert one(spark, lang.leaves(F.col("x")), x="{") == []
+
+
+def test_translation_with_nulls_and_references(spark):
+    kind = f"s {lang.MESSAGES}, t {lang.MESSAGES}, r {lang.MESSAGES}"
+    m = lambda *x: [{"from": w, "value": v} for w, v in zip(("human", "gpt", "human"), x)]
+    rows = [(m("Hello there 5kg", "fine words"), m("नमस्ते 5kg", "राम्रो"), None), (m("a b c d e", None), m(None, "x"), None), (None, None, None), (m("one two", "three"), m("एक दुई", "तीन"), m("एक दुई", "तीन")), (m("one two", "three"), m("एक दुई"), m("एक दुई", "तीन"))]
+    got = [r["x"] for r in spark.createDataFrame(rows, kind).select(lang.translation("s", "t", "r").alias("x")).collect()]
+    assert got[0]["score"] == pytest.approx(1.0) and got[0]["reference"] is None
+    assert got[1]["nonempty"] == 0.5 and got[1]["score"] <= 0.49 and got[2]["structure"] == 0.0 and got[2]["protected"] == 1.0
+    assert got[3]["reference"] == 1.0 and got[3]["score"] == pytest.approx(0.05 + 0.10 + 0.05 + 0.25 + 0.20 + 0.35)
+    assert got[4]["reference"] == 0.0 and got[4]["structure"] == 0.5 and got[4]["script"] == 1.0 and got[4]["score"] <= 0.49
+
+
+def test_protected_spans_are_the_pattern(spark):
+    import re
+
+    texts = ["`a` $x$ 5 kg ५०% see https://e.org/x, a.b@c.de <b>1,5°C</b> \\(y\\) ```p\nq``` naïve7x", "", "no"]
+    got = [r["x"] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(lang.protected_spans(F.col("t")).alias("x")).collect()]
+    assert got == [re.findall(lang.PROTECTED, t, re.S) for t in texts]
+
+
+def test_records_and_exports_with_odd_rows(spark):
+    got = lambda t: tuple(one(spark, exports.translation_output(F.col("x"))["issue"].alias("x"), x=t) for t in t)
+    good = '{"conversations": [{"from": "user", "value": "a"}, {"from": "assistant", "value": "b"}]}'
+    assert got((None, " ", "```x", "{", "[1]", '{"conversations": 1}', '{"conversations": [], "x": 1}', good)) == ("output is empty", "output is empty", "output is fenced", "output is not JSON", "output has other fields", "messages aren't a list", "output has other fields", None)
+    x = '[{"role": "user", "content": [{"text": "a"}, {"type": "t"}, {"text": "b"}]}, {"role": "gpt", "content": "c"}]'
+    parts = one(spark, exports.messages_of(F.col("x"), "role", "content"), x=x)
+    assert [(r["from"], r["value"]) for r in parts] == [("human", "ab"), ("gpt", "c")]
+    assert one(spark, exports.qa_exportable(F.lit(True), F.lit(None).cast("boolean"), F.lit(1.0), 0.5)) is False
+    meta = one(spark, exports.qa_metadata(F.lit("p"), F.create_map(F.lit("title"), F.lit("t")), F.lit(None).cast("array<struct<context_policy:string,verifier:string,standalone:boolean>>")))
+    assert meta["chapter_title"] == "t" and meta["flattening_safe"] is True and meta["context_policies"] == []
+
+
+def test_mining_with_repeats_and_nulls(spark):
+    texts = spark.createDataFrame([("a  b", 2), ("a b", 1), (None, 3), (" ", 4), ("c", 5)], "text string, place int")
+    assert [(r["passage"], r["index"]) for r in mining.pool(texts, spark.createDataFrame([("d", 1), ("c", 2)], texts.schema)).orderBy("index").collect()] == [("a b", 0), ("c", 1), ("d", 2)]
+    assert mining.pool(texts.limit(0), texts.limit(0)).count() == 0
+    rows = spark.createDataFrame([(1, "Q", "p1"), (2, "q ", "p2"), (3, "z", "p3")], "id int, query string, positive string")
+    candidates = spark.createDataFrame([(i, p) for i in (1, 2, 3) for p in ("p1", "p2", "p3")], "id int, passage string")
+    assert sorted(map(tuple, mining.without_positives(candidates, rows).select("id", "passage").collect())) == [(1, "p3"), (2, "p3"), (3, "p1"), (3, "p2")]
+    v = spark.createDataFrame([(1, k, "Seed", t) for k, t in enumerate(["ab", "seed", "good one", None, "good  one", "देव नागरी"])], "id int, place int, seed string, text string")
+    assert [r["reason"] and r["reason"].split()[1] + r["reason"].split()[-1] for r in mining.gated(v, "en-Latn", 0.6).orderBy("place").collect()] == ["isshort", "duplicatesquery", None, "istext", "duplicatesvariant", "doesratio"]
+    m = rollouts.session_metrics(spark.createDataFrame([("s", 2, None, 4, 1, True, None), ("s", 1, True, 2, 3, False, 0.5)], "session_id string, step int, success boolean, execution_time_ms int, output_chars int, truncated boolean, reward double")).first()
+    assert (m["successful_executions"], m["failed_executions"], m["truncation_count"], m["avg_execution_time_ms"], m["step_rewards"]) == (1, 1, 1, 3.0, [0.5, 0.0])
+
+
+def test_broken_pages_are_no_pages(spark):
+    docs = spark.createDataFrame([(1, [(1, None), (2, "words here")]), (2, None)], "id int, pages array<struct<page:int,text:string>>")
+    assert [(r["id"], r["first_page"], r["text"]) for r in chunks.chunked_pages(docs, "id", "pages", 100, 10).collect()] == [(1, 2, "words here")]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from gristmill.session import shared_dir
+
+    sc = SimpleNamespace(master="spark://x:7077", getConf=lambda: {}, _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: SimpleNamespace(isDefined=lambda: False))))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *_: None)))

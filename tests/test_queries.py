@@ -70,7 +70,7 @@ def test_every_document_has_a_key(spark):
 
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()
     want = sorted((r[0], " ".join(unicodedata.normalize("NFC", r[1]).split()).casefold()) for r in docs)
-    assert any("ß" in r[1] for r in docs) and sorted(map(tuple, QUERIES["normalize_key_all"](spark, DATA).select("doc_id", "key").collect())) == want
+    assert any("ß" in r[1] for r in docs) and sorted(map(tuple, QUERIES["normalize_key"](spark, DATA).select("doc_id", "key").collect())) == want
 
 
 def test_every_event_is_split_and_generated(spark):
@@ -86,8 +86,8 @@ def test_every_event_is_split_and_generated(spark):
     for i, (u, _) in events.items():
         a, b = sorted((root(doc[i]), root(f"query:{i % 97 // 2 * 10 + u // 30}")))
         low[b] = a
-    got = {r["event_id"]: r["split_group"] for r in QUERIES["component_split_all"](spark, DATA).collect()}
+    got = {r["event_id"]: r["split_group"] for r in QUERIES["component_split"](spark, DATA).collect()}
     assert got == {i: root(x) for i, x in doc.items()}
-    made = QUERIES["generation_all"](spark, DATA).collect()
+    made = QUERIES["generation"](spark, DATA).collect()
     said = {"click": "Final Answer: yes", "error": None}
     assert len(made) == 3 * len(events) and all(r["output"] == said.get(events[r["event_id"]][1], "no") for r in made)
