@@ -161,7 +161,8 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, share: float | No
             yield pd.DataFrame(rows, columns=["id", "v", "first", "salt", "seconds"])
 
     queries = own.filter(F.pmod("id", F.lit(every)) == 0).groupBy("id").agg(F.min("v").alias("v"))
-    asked = queries.repartition(2 * spark.sparkContext.defaultParallelism, "id").mapInPandas(probes, "id long, v array<double>, first int, salt long, seconds array<int>")
+    queries = cut(queries).repartition(2 * spark.sparkContext.defaultParallelism)  # dealt out evenly, as each takes long
+    asked = queries.mapInPandas(probes, "id long, v array<double>, first int, salt long, seconds array<int>")
 
     def ranked(q: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
         out = []
