@@ -11,7 +11,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -144,17 +143,19 @@ def _equations(labelled: DataFrame, model: Model) -> np.ndarray:
             for f in np.unique(k):
                 m = k == f
                 sums[f] += z[m].T @ np.hstack([z[m], y[m, None]])
-        task, rows = TaskContext.get().partitionId() % 32, FOLDS * (FEATURES + 1)
+        task, rows = TaskContext.get().partitionId(), FOLDS * (FEATURES + 1)
         yield pa.RecordBatch.from_arrays([pa.array([task] * rows), pa.array(range(rows)), pa.array(list(sums.reshape(rows, -1)), pa.list_(pa.float64()))], ["task", "row", "sums"])
 
-    def total(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.assign(order=[x.tobytes() for x in pdf.sums]).sort_values(["task", "order"]).sums  # so that sums don't depend on arrival
-        return pd.DataFrame({"task": [pdf.task.iloc[0]], "row": [pdf.row.iloc[0]], "sums": [np.sum(np.vstack(rows.to_list()), axis=0)]})
+    def total(batches):
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for row, x in zip(b.column("row").to_pylist(), np.asarray(b.column("sums").flatten()).reshape(b.num_rows, -1)):
+                sums[row] = sums[row] + x if row in sums else x.copy()
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.list_(pa.float64()))], ["row", "sums"])
 
-    shape = "task long, row long, sums array<double>"
-    some = _folds(labelled).mapInArrow(parts, shape).groupBy("task", "row").applyInPandas(total, shape)  # in two rounds, so groups stay small
-    out = some.groupBy("row").applyInPandas(total, shape)
-    got = {r["row"]: r["sums"] for r in out.toLocalIterator()}
+    # Each task adds its rows as they come, in the order of the tasks that made them.
+    made = _folds(labelled).mapInArrow(parts, "task long, row long, sums array<double>").repartition("row").sortWithinPartitions("row", "task")
+    got = {r["row"]: r["sums"] for r in made.mapInArrow(total, "row long, sums array<double>").toLocalIterator()}
     return np.array([got[i] for i in range(FOLDS * (FEATURES + 1))]).reshape(FOLDS, FEATURES + 1, FEATURES + 2)
 
 
