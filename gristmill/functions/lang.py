@@ -155,24 +155,30 @@ def translation(source: Column | str, target: Column | str, reference: Column |
 
     def script(a: Column, b: Column) -> Column:
         before, after = (F.regexp_replace(F.coalesce(m["value"], F.lit("")), _SPANS, " ") for m in (a, b))
-        native, latin = F.regexp_count(after, F.lit(DEVANAGARI)), F.regexp_count(after, F.lit("[A-Za-z]"))
-        copied = F.lower(F.trim(before)) == F.lower(F.trim(after))
-        return F.when(~a["from"].eqNullSafe(F.lit("tool")) & (F.regexp_count(before, F.lit("[A-Za-z]")) >= 4), F.when(copied, 0.0).otherwise(share(native, native + latin, 0.0)))
+
+        def of(x: Column) -> Column:
+            native, latin = F.regexp_count(x["after"], F.lit(DEVANAGARI)), F.regexp_count(x["after"], F.lit("[A-Za-z]"))
+            copied = F.lower(F.trim(x["before"])) == F.lower(F.trim(x["after"]))
+            return F.when(F.regexp_count(x["before"], F.lit("[A-Za-z]")) >= 4, F.when(copied, 0.0).otherwise(share(native, native + latin, 0.0)))
+
+        return F.when(~a["from"].eqNullSafe(F.lit("tool")), _once(F.struct(before.alias("before"), after.alias("after")), of))
 
     shares = F.filter(F.zip_with(head(s), head(t), script), lambda x: x.isNotNull())
-    in_script = share(F.aggregate(shares, F.lit(0.0), lambda a, x: a + x), F.size(shares), 1.0)
+    in_script = _once(shares, lambda x: share(F.aggregate(x, F.lit(0.0), lambda a, v: a + v), F.size(x), 1.0))
     spans = lambda x: F.flatten(F.transform(values(x), protected_spans))
     protected = kept_share(spans(s), spans(t))
     roles = lambda x: F.transform(x, lambda m: m["from"])
     near = F.when(ref.isNotNull(), F.when(roles(ref).eqNullSafe(roles(t)), mean_similarity(values(t), values(F.coalesce(ref, none)))).otherwise(0.0))
 
-    # The weights of the parts without and with a reference, and the caps.
-    text = F.when(near.isNull(), 0.55 * in_script + 0.25 * protected).otherwise(0.25 * in_script + 0.20 * protected + 0.35 * near)
-    score = 0.05 + 0.10 * structure + 0.05 * filled + text
-    score = F.when((structure < 1) | (filled < 1), F.least(score, F.lit(0.49))).when(protected < 1, F.least(score, F.lit(0.79))).otherwise(score)
-    score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))
-    parts = (score, "score"), (structure, "structure"), (filled, "nonempty"), (in_script, "script"), (protected, "protected"), (near, "reference")
-    return F.struct(*(c.alias(n) for c, n in parts))
+    def scored(x: Column) -> Column:
+        # The weights of the parts without and with a reference, and the caps.
+        text = F.when(x["reference"].isNull(), 0.55 * x["script"] + 0.25 * x["protected"]).otherwise(0.25 * x["script"] + 0.20 * x["protected"] + 0.35 * x["reference"])
+        score = 0.05 + 0.10 * x["structure"] + 0.05 * x["nonempty"] + text
+        score = F.when((x["structure"] < 1) | (x["nonempty"] < 1), F.least(score, F.lit(0.49))).when(x["protected"] < 1, F.least(score, F.lit(0.79))).otherwise(score)
+        return F.struct(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)).alias("score"), *(x[n].alias(n) for n in names))
+
+    names = ("structure", "nonempty", "script", "protected", "reference")
+    return _once(F.struct(*(c.alias(n) for c, n in zip((structure, filled, in_script, protected, near), names))), scored)
 
 
 def translation_reward(score: Column, structure: Column, reference: Column, judge: Column) -> Column:

@@ -22,14 +22,14 @@ def eval_shingles(texts: DataFrame, text_col: str = "text", n: int = 5) -> DataF
 def overlap(rows: DataFrame, index: DataFrame, id_col: str, text_col: str, n: int = 5) -> DataFrame:
     """(id, n_shingles, n_hits, share): how many of a text's distinct n-grams are in index (shingle).
 
-    The n-grams meet the index by a hash join that Spark chooses; only hits are grouped, so frequent n-grams of the corpus
-    outside the index cost nothing. Ids are unique; null texts have no n-grams and a share of 0.
+    Texts are read and cut once: the n-grams carry their number, meet the index by a hash join that Spark chooses (a broadcast
+    while the index is under its limit), and are counted by text before anything is shuffled. Ids are unique; null texts have no
+    n-grams and a share of 0.
     """
     words = rows.select(F.col(id_col).alias("id"), T.tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("w"))
-    grams = words.select("id", T.shingles(F.col("w"), n).alias("g"))
-    hits = grams.select("id", F.explode_outer("g").alias("shingle")).join(index, "shingle", "left_semi").groupBy("id").agg(F.count("*").alias("hits"))
-    out = grams.select("id", F.size("g").alias("n_shingles")).join(hits, "id", "left")
-    return out.select("id", F.col("n_shingles").cast("long").alias("n_shingles"), F.coalesce("hits", F.lit(0)).alias("n_hits"), F.coalesce(F.try_divide(F.col("hits"), F.col("n_shingles")), F.lit(0.0)).alias("share"))
+    grams = words.select("id", T.shingles(F.col("w"), n).alias("g")).select("id", F.size("g").cast("long").alias("n_shingles"), F.explode_outer("g").alias("shingle"))
+    hits = grams.join(index.select("shingle", F.lit(1).alias("hit")), "shingle", "left").groupBy("id").agg(F.first("n_shingles").alias("n_shingles"), F.count("hit").alias("n_hits"))
+    return hits.withColumn("share", F.coalesce(F.try_divide(F.col("n_hits"), F.col("n_shingles")), F.lit(0.0)))
 
 
 def decontaminated(rows: DataFrame, index: DataFrame, id_col: str, fields: list[str], threshold: float = 0.5, n: int = 5) -> DataFrame:
