@@ -10,6 +10,7 @@ from gristmill.functions import parse as P
 from gristmill.functions import tools
 from gristmill.functions.text import file_name
 from gristmill.operators.chunks import chunked
+from gristmill.session import cut
 
 
 def _filled(x: Column) -> Column:
@@ -17,12 +18,15 @@ def _filled(x: Column) -> Column:
 
 
 def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
-    """rows with a running index (from 0) in a declared order. Counted by range partitions, so no single task sorts all rows."""
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
-    per = ranged.groupBy("__p").agg(F.count("*").alias("n"))
+    """rows with a running index (from 0) in a declared order, nulls last. Sorted and counted by range partitions, so no single task
+    sorts all rows. They are kept once with their places: read again, rows may be dealt to other partitions than were counted."""
+    keys = [F.col(c).asc_nulls_last() for c in order]
+    ranged = cut(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__at", F.monotonically_increasing_id()))
+    placed = ranged.withColumn("__p", F.shiftright("__at", 33))  # the id holds the partition above 33 bits, below them the row's place in it
+    per = placed.groupBy("__p").agg(F.count("*").alias("n"))
     before = per.select("__p", F.coalesce(F.sum("n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))  # a row a partition
-    index = F.row_number().over(Window.partitionBy("__p").orderBy(*order)) - 1
-    return ranged.join(F.broadcast(before), "__p").withColumn("index", F.col("__before") + index).drop("__p", "__before")
+    index = F.col("__before") + F.col("__at").bitwiseAND(F.lit(2**33 - 1))
+    return placed.join(F.broadcast(before), "__p").withColumn("index", index).drop("__p", "__at", "__before")
 
 
 def instructions(rows: DataFrame, order: list[str]) -> DataFrame:

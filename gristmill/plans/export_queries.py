@@ -167,7 +167,7 @@ def scored_results(spark, d):
 def task_math(spark, d):
     """Documents as problems, their length as the answer."""
     rows = table(spark, d, "documents").select("doc_id", "text", "lang", "source", F.col("n_chars").cast("string").alias("answer"))
-    return TK.math_rows(rows, ["doc_id"], None, "text", "answer", "lang").select("id", "prompt", "context", F.to_json(F.struct(F.get_json_object("metadata", "$.source").alias("source"), F.get_json_object("metadata", "$.expected_answer").alias("expected_answer"))).alias("metadata"))
+    return TK.math_rows(rows, ["doc_id"], None, "text", "answer", "lang").select("id", "prompt", "context", F.to_json(F.struct(F.get_json_object("metadata", "$.source").alias("source"), F.get_json_object("metadata", "$.expected_answer").alias("expected_answer")), {"ignoreNullFields": "false"}).alias("metadata"))
 
 
 @query("SELECT doc_id, source AS repo FROM documents WHERE source IN (SELECT min(source) FROM documents)")

@@ -91,3 +91,31 @@ def test_every_event_is_split_and_generated(spark):
     made = QUERIES["generation"](spark, DATA).collect()
     said = {"click": "Final Answer: yes", "error": None}
     assert len(made) == 3 * len(events) and all(r["output"] == said.get(events[r["event_id"]][1], "no") for r in made)
+
+
+def same_as_sql(spark, name, folder, **tables):
+    """A query's rows on tables written to folder are those of its SQL."""
+    c = duckdb.connect()
+    for t, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{folder}/{t}.parquet")
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet/*.parquet'")
+    rel, df = c.sql(ORACLES[name]), QUERIES[name](spark, str(folder))
+    want = sorted(map(repr, rel.fetchall()))
+    assert want and sorted(map(repr, map(tuple, df.select(*rel.columns).collect()))) == want
+
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def filled(spark, n):
+    """n ids with a kilobyte of text each that does not compress: more partitions than their ids alone."""
+    from pyspark.sql import functions as F
+
+    text = F.concat(*(F.sha2(F.concat_ws("-", "id", F.lit(k)), 256) for k in range(16)))
+    return spark.range(n).withColumn("text", text)
+
+
+def test_problems_are_numbered_whole(spark, tmp_path):
+    same_as_sql(spark, "task_math", tmp_path, documents=filled(spark, 8000).selectExpr("id AS doc_id", "text", "'en' AS lang", "'s' AS source", "id AS n_chars"))
+    odd = [(5, "a", "en", "s", 3), (None, "no id", None, None, None), (-3, "b", "de", 'x"y', 1), (6, "", "en", "z", 2), (7, None, "fr", "q", 1), (9, " ", "fr", None, 1)]
+    same_as_sql(spark, "task_math", tmp_path, documents=spark.createDataFrame(odd, DOC))
