@@ -14,12 +14,13 @@ from gristmill.operators.tasks import numbered
 def pool(positives: DataFrame, extras: DataFrame, text_col: str = "text", order: str = "place") -> DataFrame:
     """(passage, index): normalized texts of positives and then of extras, each once, numbered by where it first occurs.
 
-    Both have a text and a place to order by. Null and blank texts are left out; empty tables are fine.
+    Both have a text and a place to order by. Null and blank texts are left out; empty tables are fine. A null place comes after
+    the others of its table, and passages of one place are in the order of their text.
     """
     rows = positives.select(F.lit(0).alias("part"), F.col(order).alias("at"), T.normalize_text(text_col).alias("passage"))
     rows = rows.unionByName(extras.select(F.lit(1).alias("part"), F.col(order).alias("at"), T.normalize_text(text_col).alias("passage")))
-    first = rows.filter("passage <> ''").groupBy("passage").agg(F.min(F.struct("part", "at")).alias("first"))
-    return numbered(first.select("passage", "first.part", "first.at"), ["part", "at"]).select("passage", F.col("index").cast("long").alias("index"))
+    first = rows.filter("passage <> ''").groupBy("passage").agg(F.min(F.struct("part", F.col("at").isNull().alias("none"), "at")).alias("first"))
+    return numbered(first.select("passage", "first.part", "first.at"), ["part", "at", "passage"]).select("passage", F.col("index").cast("long").alias("index"))
 
 
 def without_positives(candidates: DataFrame, rows: DataFrame, id_col: str = "id", text_col: str = "passage") -> DataFrame:

@@ -119,3 +119,11 @@ def test_problems_are_numbered_whole(spark, tmp_path):
     same_as_sql(spark, "task_math", tmp_path, documents=filled(spark, 8000).selectExpr("id AS doc_id", "text", "'en' AS lang", "'s' AS source", "id AS n_chars"))
     odd = [(5, "a", "en", "s", 3), (None, "no id", None, None, None), (-3, "b", "de", 'x"y', 1), (6, "", "en", "z", 2), (7, None, "fr", "q", 1), (9, " ", "fr", None, 1)]
     same_as_sql(spark, "task_math", tmp_path, documents=spark.createDataFrame(odd, DOC))
+
+
+def test_passages_are_numbered_whole(spark, tmp_path):
+    item = "item_id long, text string"
+    said = filled(spark, 20000).selectExpr("id DIV 4 AS conv_id", "id % 4 AS turn", "'user' AS role", "text")
+    same_as_sql(spark, "pool_union", tmp_path, conversations=said, benchmark=spark.createDataFrame([(1, "z"), (0, "y")], item))
+    odd = [(1, 0, "x", " a  b "), (1, None, "x", "z"), (2, 5, "x", "z"), (0, 1, "x", "a b"), (0, 2, "x", ""), (0, 3, "x", None), (None, 1, "x", "late"), (-1, 1, "x", "c")]
+    same_as_sql(spark, "pool_union", tmp_path, conversations=spark.createDataFrame(odd, said.schema), benchmark=spark.createDataFrame([(1, "z"), (0, "y"), (None, "x")], item))
