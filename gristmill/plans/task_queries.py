@@ -12,7 +12,7 @@ from gristmill.plans.registry import query, table
 def task_instructions(spark, d):
     i = F.col("doc_id").cast("string")
     rows = table(spark, d, "documents").select(
-        "doc_id", F.array(F.struct(F.when(F.col("doc_id") % 5 == 0, " ").otherwise(F.concat(F.lit(" t"), i)).alias("content"), F.lit("user").alias("role"))).alias("messages"),
+        "doc_id", F.array(F.struct(F.when(F.col("doc_id") % 5 > 0, F.concat(F.lit(" t"), i)).otherwise(" ").alias("content"), F.lit("user").alias("role"))).alias("messages"),
         F.when(F.col("doc_id") % 3 == 0, "{bad").otherwise(F.concat(F.lit('{"N": '), i, F.lit("}"))).alias("ground_truth"), F.lit("c").alias("constraint"), F.lit("k").alias("constraint_type"),
     )
     return T.instructions(rows, ["doc_id"]).drop("constraint", "constraint_type")

@@ -127,3 +127,7 @@ def test_passages_are_numbered_whole(spark, tmp_path):
     same_as_sql(spark, "pool_union", tmp_path, conversations=said, benchmark=spark.createDataFrame([(1, "z"), (0, "y")], item))
     odd = [(1, 0, "x", " a  b "), (1, None, "x", "z"), (2, 5, "x", "z"), (0, 1, "x", "a b"), (0, 2, "x", ""), (0, 3, "x", None), (None, 1, "x", "late"), (-1, 1, "x", "c")]
     same_as_sql(spark, "pool_union", tmp_path, conversations=spark.createDataFrame(odd, said.schema), benchmark=spark.createDataFrame([(1, "z"), (0, "y"), (None, "x")], item))
+
+
+def test_instructions_are_numbered_whole(spark, tmp_path):
+    same_as_sql(spark, "task_instructions", tmp_path, documents=spark.range(-20, 600_000).withColumnRenamed("id", "doc_id"))
